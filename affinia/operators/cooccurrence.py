@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from affinia.functions import scores
 from affinia.operators.dictionary import lookup_token_index
-from affinia.operators.indexing import dense_index, top_per_group
+from affinia.operators.indexing import place_in_group, top_per_group
 from affinia.operators.pairs import set_pairs
 from affinia.operators.sizes import broadcast_if_small
 
@@ -114,11 +114,8 @@ def pack_rows(triples: DataFrame, max_row_size: int = 1000, i: str = "i", j: str
     Places within a row come from the global numbering, so a heavy row is never gathered
     in one task; only chunks are.
     """
-    placed = dense_index(triples.select(i, j, x), F.asc(i), F.asc(j), name="_at")
-    starts = placed.groupBy(i).agg(F.min("_at").alias("_start"))
-    chunked = placed.join(starts, i).withColumn(
-        "chunk", F.floor((F.col("_at") - F.col("_start")) / max_row_size)
-    )
+    placed = place_in_group(triples.select(i, j, x), [i], F.asc(j))
+    chunked = placed.withColumn("chunk", F.floor(F.col("place") / max_row_size))
     entries = F.array_sort(F.collect_list(F.struct(F.col(j).alias("j"), F.col(x).alias("x"))))
     return chunked.groupBy(F.col(i).alias("index"), "chunk").agg(entries.alias("_e")).select(
         "index", "chunk", F.col("_e.j").alias("other_index"), F.col("_e.x").alias("count")

@@ -192,3 +192,54 @@ def set_pairs(
         total = total.unionByName(block_pairs(rows, block).select("left", "right", "n"))
         total = total.groupBy("left", "right").agg(F.sum("n").alias("n"))
     return total.withColumn("n", F.col("n").cast("bigint"))
+
+
+def shared_counts(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, feature: str,
+    group_limit: int = GROUP_LIMIT, block: int = BLOCK,
+) -> DataFrame:
+    """(left_key, right_key, shared): features that a left and a right entity have in common.
+
+    Features carried by at most ``group_limit`` right entities are joined; the rest, such
+    as a word of every document, go through block products. Rows must be unique.
+    """
+    a = left.select(F.col(left_key).alias("_le"), F.col(feature).alias("feature"))
+    b = right.select(F.col(right_key).alias("_re"), F.col(feature).alias("feature"))
+    b = b.join(a.select("feature").distinct(), "feature", "left_semi")
+    large = b.groupBy("feature").agg(F.count("*").alias("_n")).where(F.col("_n") > group_limit)
+    any_large = not large.select("feature").isEmpty()
+    small = b.join(large, "feature", "left_anti") if any_large else b
+    total = a.join(small, "feature").groupBy("_le", "_re").agg(F.count("*").alias("shared"))
+    if any_large:
+        wide_a, wide_b = (t.join(large, "feature", "left_semi") for t in (a, b))
+        sizes = [
+            max(1, -(-int(t.agg(F.approx_count_distinct(c)).first()[0]) // block))
+            for t, c in ((wide_a, "_le"), (wide_b, "_re"))
+        ]
+        kinds = [wide_a.schema["_le"].dataType.simpleString(), wide_b.schema["_re"].dataType.simpleString()]
+        arrow = [pa.string() if k == "string" else pa.int64() for k in kinds]
+
+        def side(t: DataFrame, key: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
+            rows = t.select(F.col(key).alias("entity"), "feature", F.lit(1.0).alias("x"), F.lit(True).alias("fresh"))
+            return rows.withColumn(own, F.pmod(F.xxhash64("entity"), F.lit(own_blocks)).cast("int")).withColumn(
+                other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
+            )
+
+        def run(x: pa.Table, y: pa.Table) -> pa.Table:
+            if not x.num_rows or not y.num_rows:
+                return pa.table([pa.array([], arrow[0]), pa.array([], arrow[1]), pa.array([], pa.int64())],
+                                names=["_le", "_re", "shared"])
+            ln, lc, lf, lx, _ = _block_columns(x)
+            rn, rc, rf, rx, _ = _block_columns(y)
+            count = _product((lc, lf, lx, len(ln)), (rc, rf, rx, len(rn)))[0]
+            at_l, at_r = np.nonzero(count)
+            return pa.table([
+                pa.array(ln[at_l], arrow[0]), pa.array(rn[at_r], arrow[1]),
+                pa.array(count[at_l, at_r].astype("int64")),
+            ], names=["_le", "_re", "shared"])
+
+        heavy = side(wide_a, "_le", "_l", sizes[0], "_r", sizes[1]).groupBy("_l", "_r").cogroup(
+            side(wide_b, "_re", "_r", sizes[1], "_l", sizes[0]).groupBy("_l", "_r")
+        ).applyInArrow(run, f"_le {kinds[0]}, _re {kinds[1]}, shared bigint")
+        total = total.unionByName(heavy).groupBy("_le", "_re").agg(F.sum("shared").alias("shared"))
+    return total.select(F.col("_le").alias(left_key), F.col("_re").alias(right_key), "shared")

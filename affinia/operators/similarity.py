@@ -84,23 +84,41 @@ def affinity(ratings: DataFrame, similarity: DataFrame, k: int = 5, targets: Dat
 
 
 def update_similarity(sums: DataFrame, old: DataFrame, new: DataFrame, means: DataFrame, **limits: int) -> DataFrame:
-    """New pair sums after new ratings: only pairs they touch change, means are held.
+    """New pair sums after new ratings: only pairs they touch change, means are held."""
+    delta = similarity_delta(old, new, means, **limits)
+    return add_sums(sums.select("left", "right", *SUMS).unionByName(delta))
+
+
+def add_sums(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("left", "right").agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def similarity_delta(old: DataFrame, new: DataFrame, means: DataFrame, **limits: int) -> DataFrame:
+    """(left, right, sums) to add for new ratings (one per user and item).
 
     ``means`` (user, mean) are those of the last full build; users without one take the
-    mean of their new ratings. Only the items that got new ratings are read.
+    mean of their new ratings. Only the items that got new ratings are read. Where a new
+    rating replaces an old one, what the old one had added is taken off.
     """
-    touched = new.select("item").distinct()
-    fresh = new.select("user", "item", "rating").withColumn("_new", F.lit(True))
-    before = old.join(touched, "item", "left_semi").join(
-        new.select("user", "item"), ["user", "item"], "left_anti"
-    ).select("user", "item", "rating").withColumn("_new", F.lit(False))
+    touched = old.join(new.select("item").distinct(), "item", "left_semi").select("user", "item", "rating")
+    again = new.select("user", "item")
+    replaced = touched.join(again, ["user", "item"], "left_semi")
+    kept = touched.join(again, ["user", "item"], "left_anti")
     own = new.groupBy("user").agg(F.avg("rating").alias("_own"))
-    rows = before.unionByName(fresh).join(means.select("user", "mean"), "user", "left").join(own, "user", "left")
-    rows = rows.withColumn("deviation", F.col("rating") - F.coalesce("mean", "_own"))
-    delta = pair_sums(rows, "user", "item", "deviation", fresh=F.col("_new"), **limits)
-    return sums.select("left", "right", *SUMS).unionByName(delta).groupBy("left", "right").agg(
-        *[F.sum(c).alias(c) for c in SUMS]
-    )
+
+    def changed(before: DataFrame, after: DataFrame) -> DataFrame:
+        rows = before.withColumn("_new", F.lit(False)).unionByName(
+            after.select("user", "item", "rating").withColumn("_new", F.lit(True))
+        )
+        rows = rows.join(means.select("user", "mean"), "user", "left").join(own, "user", "left")
+        rows = rows.withColumn("deviation", F.col("rating") - F.coalesce("mean", "_own"))
+        return pair_sums(rows, "user", "item", "deviation", fresh=F.col("_new"), **limits)
+
+    delta = changed(kept, new)
+    if not replaced.isEmpty():
+        gone = changed(kept, replaced).select("left", "right", *[(-F.col(c)).alias(c) for c in SUMS])
+        delta = add_sums(delta.unionByName(gone))
+    return delta
 
 
 def cf_recommend(ratings: DataFrame, similarity: DataFrame, mode: str = "user", k: int = 5, n: int = 10,

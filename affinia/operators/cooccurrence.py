@@ -34,16 +34,13 @@ def indexed_fragments(docs: DataFrame, dictionary: DataFrame, window: int, key:
     return found.groupBy(key, "piece").agg(F.transform(ordered, lambda s: s["embedding"]).alias("ids"))
 
 
-def token_cooccurrence(docs: DataFrame, dictionary: DataFrame, window: int = 10, key: str = "doc_id",
-                       tokens: str = "tokens", fragment: int = FRAGMENT) -> DataFrame:
-    """(i, j, x) with i > j: sum of 1/distance over token pairs within the window.
+def context_pairs(docs: DataFrame, dictionary: DataFrame, window: int = 10, key: str = "doc_id",
+                  tokens: str = "tokens", fragment: int = FRAGMENT) -> DataFrame:
+    """(a, b, d): the band join; token index b stands d places after a, d up to the window.
 
-    Equal tokens never count, and at distance exactly ``window`` a pair counts only when
-    the later token has the larger index. The weights are summed as whole multiples of
-    1/lcm(1..window), so the sums do not depend on the order of addition. Every token
-    emits at most ``window`` pairs, which are partly summed before the shuffle.
+    Equal tokens never meet, and at distance exactly ``window`` two meet only when the
+    later one has the larger index. Every token emits at most ``window`` rows.
     """
-    scale = math.lcm(*range(1, window + 1))
     ids = indexed_fragments(docs, dictionary, window, key, tokens, fragment)
     centres = F.sequence(F.lit(1), F.least(F.size("ids"), F.lit(fragment)))
     near = F.transform(
@@ -55,9 +52,20 @@ def token_cooccurrence(docs: DataFrame, dictionary: DataFrame, window: int = 10,
             ),
         ),
     )
-    pairs = ids.select(F.inline(F.flatten(near))).where(
+    return ids.select(F.inline(F.flatten(near))).where(
         (F.col("a") != F.col("b")) & ((F.col("d") < window) | (F.col("b") > F.col("a")))
     )
+
+
+def token_cooccurrence(docs: DataFrame, dictionary: DataFrame, window: int = 10, key: str = "doc_id",
+                       tokens: str = "tokens", fragment: int = FRAGMENT) -> DataFrame:
+    """(i, j, x) with i > j: sum of 1/distance over the pairs of the band join.
+
+    The weights are summed as whole multiples of 1/lcm(1..window), so the sums do not
+    depend on the order of addition; they are partly summed before the shuffle.
+    """
+    scale = math.lcm(*range(1, window + 1))
+    pairs = context_pairs(docs, dictionary, window, key, tokens, fragment)
     summed = pairs.groupBy(F.greatest("a", "b").alias("i"), F.least("a", "b").alias("j")).agg(
         F.sum(F.lit(scale).cast("bigint") / F.col("d")).cast("bigint").alias("_units")
     )

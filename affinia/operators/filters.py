@@ -21,16 +21,18 @@ def valid_pairs(pairs: DataFrame, files: DataFrame, scene: str = "scene", produc
 def filter_views(views: DataFrame, users: DataFrame, since: str, country: str) -> DataFrame:
     """Views from a date on, by users of one country."""
     chosen = users.where(F.col("country") == country).select("user")
-    return views.where(F.col("ts") >= F.lit(since).cast("timestamp")).join(chosen, "user", "left_semi")
+    start = F.lit(since).cast(views.schema["ts"].dataType)  # a literal of the column's type reaches the scan
+    return views.where(F.col("ts") >= start).join(chosen, "user", "left_semi")
 
 
 def filter_ratings(ratings: DataFrame, users: DataFrame, items: DataFrame, since: str, until: Column | str,
                    country: str) -> DataFrame:
     """Rated rows in a date range, of users of a country and of active items."""
+    kind = ratings.schema["ts"].dataType
     last = F.lit(until).cast("date") if isinstance(until, str) else until
-    day = F.to_date("ts")
     kept = ratings.where(
-        (day >= F.lit(since).cast("date")) & (day <= last) & F.col("rating").isNotNull()
+        (F.col("ts") >= F.lit(since).cast(kind)) & (F.col("ts") < F.date_add(last, 1).cast(kind))
+        & F.col("rating").isNotNull()
     )
     chosen = users.where(F.col("country") == country).select("user")
     live = items.where(F.col("active")).select("item")

@@ -202,7 +202,7 @@ def session_sequence(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """
     placed = sorted_parts(events, F.asc("user"), F.asc("ts"), F.asc("event_id"))
     seen = with_last_seen(placed, F.struct("user", "ts"), "_before", inclusive=False)
-    gap = F.col("ts").cast("double") - F.col("_before.ts").cast("double")
+    gap = F.col("ts").cast("timestamp").cast("double") - F.col("_before.ts").cast("timestamp").cast("double")
     same = (F.col("_before.user") == F.col("user")) & (gap <= gap_minutes * 60)
     flagged = seen.withColumn("_new", F.when(same, 0).otherwise(1)).withColumn("_one", F.lit(1))
     numbered = running_sum(running_sum(flagged, "_new", "_session"), "_one", "_row")

@@ -88,7 +88,7 @@ def sequential_split(df: DataFrame, ts: str, train_end: str, gap: str, test_leng
 
     ``gap`` and ``test_length`` are interval texts such as '2 days'.
     """
-    end = F.lit(train_end).cast("timestamp")
+    end = F.lit(train_end).cast(df.schema[ts].dataType)
     start = end + F.expr(f"interval {gap}")
     stop = start + F.expr(f"interval {test_length}")
     at = F.col(ts)

@@ -43,7 +43,7 @@ def write_typed(df: DataFrame, path: str, parts: int | None = None, codec: str =
 def read_playlists(spark: SparkSession, path: str) -> DataFrame:
     """(file, pl, num_tracks, pos, track_uri, artist_uri, album_uri) of playlist JSON files."""
     raw = spark.read.schema(schemas.PLAYLIST_FILE).option("multiLine", "true").json(path)
-    lists = raw.select(F.col("_metadata.file_name").alias("file"), F.posexplode("playlists").alias("pl", "_p"))
+    lists = raw.select(F.col("_metadata.file_path").alias("file"), F.posexplode("playlists").alias("pl", "_p"))
     tracks = lists.select(
         "file", "pl", F.col("_p.num_tracks").alias("num_tracks"), F.posexplode("_p.tracks").alias("pos", "_t")
     )
@@ -114,7 +114,7 @@ def read_event_stream(spark: SparkSession, path: str, schema: str, files_per_bat
 
 def snapshot_as_of(log: DataFrame, keys: list[str], ts: str, day: str) -> DataFrame:
     """State of a table at the end of a day: the last record per key; ties take the largest row."""
-    end = F.date_add(F.lit(day).cast("date"), 1).cast("timestamp")
+    end = F.date_add(F.lit(day).cast("date"), 1).cast(log.schema[ts].dataType)
     others = [c for c in log.columns if c not in (*keys, ts)]
     last = log.where(F.col(ts) < end).groupBy(*keys).agg(F.max(F.struct(ts, *others)).alias("_l"))
     return last.select(*keys, "_l.*")
@@ -122,8 +122,8 @@ def snapshot_as_of(log: DataFrame, keys: list[str], ts: str, day: str) -> DataFr
 
 def snapshot_delta(log: DataFrame, ts: str, day: str) -> DataFrame:
     """Records added on a day; a plain range, so it reaches the scan."""
-    start = F.lit(day).cast("date")
-    return log.where((F.col(ts) >= start.cast("timestamp")) & (F.col(ts) < F.date_add(start, 1).cast("timestamp")))
+    kind, start = log.schema[ts].dataType, F.lit(day).cast("date")
+    return log.where((F.col(ts) >= start.cast(kind)) & (F.col(ts) < F.date_add(start, 1).cast(kind)))
 
 
 def write_popularity_table(events: DataFrame, path: str, n: int | None = None) -> None:

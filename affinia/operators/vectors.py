@@ -12,13 +12,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.operators.indexing import top_per_group
 
 BROADCAST_BYTES = 64 << 20
 BLOCK = 8192
+# Scores are compared rounded, so that equal vectors tie whatever their place in a product.
+PLACES = 9
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -42,6 +44,7 @@ def _unit(m: np.ndarray) -> np.ndarray:
 
 def best(scores: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best scores, larger first, lower name on ties."""
+    scores = np.round(scores, PLACES)
     if len(scores) > k:
         floor = np.partition(scores, len(scores) - k)[len(scores) - k]
         near = np.nonzero(scores >= floor)[0]
@@ -105,7 +108,8 @@ def knn(
 ) -> DataFrame:
     """(query, item, score, rank): the k items of largest inner product or cosine.
 
-    Ties go to the lower item. ``exclude_self`` leaves out the item equal to the query.
+    Scores equal to nine decimals are ties and go to the lower item. ``exclude_self``
+    leaves out the item equal to the query.
     """
     q = _prepare(queries, query_key, vec, "query")
     i = _prepare(items, item_key, vec, "item")
@@ -141,7 +145,11 @@ def knn(
             "_q", F.explode(F.sequence(F.lit(0), F.lit(qn - 1)))
         )
         found = _cogroup(qb, ib, k, exclude_self, fit, schema, out)
-    return top_per_group(found, ["query"], [F.desc("score"), F.asc("item")], k)
+    return top_per_group(found, ["query"], [by_score(), F.asc("item")], k)
+
+
+def by_score(score: str = "score") -> Column:
+    return F.desc(F.round(score, PLACES))
 
 
 def _cogroup(qb: DataFrame, ib: DataFrame, k: int, skip_self: bool, fit, schema: pa.Schema, out: str) -> DataFrame:
@@ -213,7 +221,7 @@ def ann(
     found = _cogroup(
         qb.drop("_cuts"), ib.drop("_cuts"), k, exclude_self, fit, schema, out
     ).groupBy("query", "item").agg(F.max("score").alias("score"))
-    return top_per_group(found, ["query"], [F.desc("score"), F.asc("item")], k)
+    return top_per_group(found, ["query"], [by_score(), F.asc("item")], k)
 
 
 def ann_recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

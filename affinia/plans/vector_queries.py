@@ -46,7 +46,7 @@ def products(spark, sf) -> DataFrame:
 
 DOT_SQL = "x AS (SELECT q.id AS query, i.id AS item, list_dot_product(q.vec, i.vec) AS s FROM vecs q JOIN vecs i ON q.id % 2 = 0 AND i.id % 2 = 1)"
 TOP_SQL = (
-    "SELECT query, item, round(s, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY s DESC, item) AS rk FROM x) WHERE rk <= "
+    "SELECT query, item, round(s, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(s, 9) DESC, item) AS rk FROM x) WHERE rk <= "
 )
 
 

@@ -1,4 +1,4 @@
-"""Broadcast behind a measured size."""
+"""Broadcasts behind a measured size, and scans of few splits."""
 
 from __future__ import annotations
 
@@ -16,3 +16,13 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None, limit: int = BROA
     """
     rows = df.count() if rows is None else rows
     return F.broadcast(df) if rows <= limit else df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a scan dealt out again where it has fewer splits than there are cores.
+
+    For heavy work per row, such as tokenising. A large table has far more splits than
+    cores, and then nothing is moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -23,7 +23,8 @@ BLOCK = 8192
 PLACES = 9
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def matrix_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Rows of equal length as a matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
@@ -124,14 +125,14 @@ def knn(
     fit = _unit if metric == "cosine" else (lambda m: m)
     if n * (d + k * 3) * 8 <= broadcast_bytes:
         held = q.toArrow()
-        shared = q.sparkSession.sparkContext.broadcast((_names(held.column(0)), fit(_matrix(held.column(1)))))
+        shared = q.sparkSession.sparkContext.broadcast((_names(held.column(0)), fit(matrix_of(held.column(1)))))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names, matrix = shared.value
             lead = Leaders(names, matrix, k, exclude_self)
             for batch in batches:
                 if batch.num_rows:
-                    lead.add(_names(batch.column(0)), fit(_matrix(batch.column(1))))
+                    lead.add(_names(batch.column(0)), fit(matrix_of(batch.column(1))))
             yield from lead.table(schema).to_batches()
 
         found = i.mapInArrow(scan, out)
@@ -158,8 +159,8 @@ def _cogroup(qb: DataFrame, ib: DataFrame, k: int, skip_self: bool, fit, schema:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        lead = Leaders(_names(left.column("query")), fit(_matrix(left.column("vec"))), k, skip_self)
-        lead.add(_names(right.column("item")), fit(_matrix(right.column("vec"))))
+        lead = Leaders(_names(left.column("query")), fit(matrix_of(left.column("vec"))), k, skip_self)
+        lead.add(_names(right.column("item")), fit(matrix_of(right.column("vec"))))
         return lead.table(schema)
 
     return qb.groupBy("_q", "_i").cogroup(ib.groupBy("_q", "_i")).applyInArrow(run, out)
@@ -179,7 +180,7 @@ def _signed(df: DataFrame, key: str, bits: int, tables: int, seed: int) -> DataF
         for batch in batches:
             if not batch.num_rows:
                 continue
-            matrix = _matrix(batch.column(1))
+            matrix = matrix_of(batch.column(1))
             planes = _planes(matrix.shape[1], bits, tables, seed)
             codes = [((matrix @ p.T) > 0) @ weights + (t << bits) for t, p in enumerate(planes)]
             flat = np.stack(codes, axis=1).astype("int64")

@@ -9,6 +9,7 @@ from affinia.functions import text
 from affinia.functions.keys import json_field
 from affinia.operators.documents import text_document
 from affinia.operators.indexing import place_in_group
+from affinia.operators.sizes import spread
 
 HREF = 'href="([^"]*)"'
 ANCHOR = '<a href="([^"]*)">([^<]*)</a>'
@@ -19,7 +20,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def docs(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", text.simple_tokenize(F.col("text")).alias("tokens"))
+    texts = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return texts.select("doc_id", text.simple_tokenize(F.col("text")).alias("tokens"))
 
 
 def pages(spark, sf) -> DataFrame:

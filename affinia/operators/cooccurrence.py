@@ -82,13 +82,11 @@ def title_cooccurrence(url2url: DataFrame, key: str = "url", **limits: int) -> D
 
 def dice_similarity(pairs: DataFrame, dictionary: DataFrame, factor: float = 2.0) -> DataFrame:
     """Pairs with both titles, their document frequencies and the Dice score."""
-    size = dictionary.count()
-
     def side(index: str, suffix: str) -> DataFrame:
         return broadcast_if_small(dictionary.select(
             F.col("index").alias(index), F.col("token").alias(f"title_{suffix}"),
             F.col("doc_frequency").alias(f"df_{suffix}"),
-        ), size)
+        ))
 
     joined = pairs.join(side("i", "i"), "i").join(side("j", "j"), "j")
     return joined.withColumn("dice", scores.dice(F.col("count"), F.col("df_i"), F.col("df_j"), factor))

@@ -78,7 +78,7 @@ def dict_scalars(dictionary: DataFrame) -> DataFrame:
 def lookup_token_index(rows: DataFrame, dictionary: DataFrame, token: str = "token") -> DataFrame:
     """Adds ``embedding``: 1 + index of a known token, a hashed bucket past them otherwise."""
     size = dictionary.count()
-    known = broadcast_if_small(dictionary.select(F.col("token").alias(token), "index"), size)
+    known = broadcast_if_small(dictionary.select(F.col("token").alias(token), "index"))
     joined = rows.join(known, token, "left")
     return joined.withColumn(
         "embedding", index_column(F.col("index"), F.col(token), F.lit(size).cast("bigint"))
@@ -95,7 +95,7 @@ def index_to_token(rows: DataFrame, dictionary: DataFrame, embedding: str = "emb
     """Adds ``shown``: NULL for the padding, the token, or the bucket of an unknown one."""
     size = dictionary.count()
     names = dictionary.select((F.col("index") + 1).alias(embedding), F.col("token").alias("_name"))
-    joined = rows.join(broadcast_if_small(names, size), embedding, "left")
+    joined = rows.join(broadcast_if_small(names), embedding, "left")
     bucket = F.concat(F.lit("MINHASH "), (F.col(embedding) - size - 1).cast("string"))
     return joined.withColumn(
         "shown", F.when(F.col(embedding) == 0, "NULL").otherwise(F.coalesce("_name", bucket))

@@ -123,7 +123,9 @@ def block_pairs(rows: DataFrame, block: int = BLOCK, only_fresh: bool = False) -
     left = blocked.withColumn("_l", F.col("_block")).withColumn(
         "_r", F.explode(F.sequence(F.col("_block"), F.lit(blocks - 1)))
     )
-    right = blocked.withColumn("_r", F.col("_block")).withColumn(
+    # The same rows under new column identities, as a plan may not join a table to itself.
+    again = blocked.select(*[F.col(c).alias(c) for c in blocked.columns])
+    right = again.withColumn("_r", F.col("_block")).withColumn(
         "_l", F.explode(F.sequence(F.lit(0), F.col("_block")))
     )
 

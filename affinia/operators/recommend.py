@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.functions.keys import draw, unit_draw
-from affinia.operators.indexing import dense_index, top_per_group
+from affinia.operators.indexing import dense_index, place_in_group, top_per_group
 from affinia.operators.sizes import broadcast_if_small
 
 
@@ -34,7 +34,7 @@ def eps_greedy(popularity: DataFrame, users: DataFrame, n: int, eps: float | Col
     taken = F.size(F.filter("_f", lambda f: ~f["explored"] & (f["slot"] < F.col("slot"))))
     at = F.when(F.col("explored"), draw(size, F.col("user"), F.col("slot"), seed=seed + 1)).otherwise(taken)
     placed = rows.select("user", "slot", "explored", at.cast("bigint").alias("_at"))
-    found = placed.join(broadcast_if_small(ranked, size), "_at")
+    found = placed.join(broadcast_if_small(ranked), "_at")
     first = found.groupBy("user", "item").agg(
         F.min("slot").alias("_s"), F.min_by("explored", "slot").alias("explored")
     )
@@ -84,8 +84,10 @@ def collate_ranks(rankings: dict[str, tuple[DataFrame, float]], n: int | None =
     for part in parts[1:]:
         union = union.unionByName(part)
     merged = union.groupBy("user", "item").agg(F.sum("_s").alias("score"))
-    limit = n if n is not None else (1 << 31) - 1
-    return top_per_group(merged, ["user"], [F.desc("score"), F.asc("item")], limit)
+    if n is not None:
+        return top_per_group(merged, ["user"], [F.desc("score"), F.asc("item")], n)
+    placed = place_in_group(merged, ["user"], F.desc("score"), F.asc("item"), name="rank")
+    return placed.withColumn("rank", F.col("rank") + 1)
 
 
 def diversify(ranked: DataFrame, category: str, most: int, n: int) -> DataFrame:
@@ -115,8 +117,7 @@ def ensemble(predictions: DataFrame, priors: DataFrame) -> DataFrame:
     weights = means.join(priors, "model").select(
         "model", (F.lit(1.0) / (1 + F.abs(F.col("_m") - F.col("prior_mean")) / F.col("prior_sd"))).alias("_w")
     )
-    # One row per model.
-    return predictions.join(F.broadcast(weights), "model").groupBy("key").agg(
+    return predictions.join(weights, "model").groupBy("key").agg(
         (F.sum(F.col("score") * F.col("_w")) / F.sum("_w")).alias("score")
     )
 
@@ -167,18 +168,19 @@ def new_item_exposure(recs: DataFrame, items: DataFrame, users: DataFrame, n: in
     """(user, item, rank): each new item takes slot 2 for its own n users.
 
     Users are taken in order of arrival (``ts``), n for the first new item, the next n
-    for the second and so on; the other lists stay as they are.
+    for the second and so on; the other lists stay as they are, as does one that already
+    shows the new item first.
     """
     order = dense_index(users.groupBy("user").agg(F.min("ts").alias("_t")), F.asc("_t"), F.asc("user"), name="_u")
     news = dense_index(items.select("item").distinct(), F.asc("item"), name="_i").withColumnRenamed("item", "_new")
     chosen = order.withColumn("_i", F.floor(F.col("_u") / n)).join(broadcast_if_small(news), "_i").select("user", "_new")
-    joined = recs.join(chosen, "user", "left")
-    kept = joined.where(F.col("_new").isNull() | (F.col("item") != F.col("_new")))
-    moved = kept.select(
-        "user", "item",
-        F.when(F.col("_new").isNotNull() & (F.col("rank") > 1), F.col("rank") + 1.0).otherwise(F.col("rank") + 0.0).alias("_r"),
+    held = recs.join(chosen, "user").where(F.col("item") == F.col("_new")).select("user", F.col("rank").alias("_held"))
+    lists = recs.join(chosen, "user", "left").join(held, "user", "left")
+    moves = F.col("_new").isNotNull() & (F.col("rank") > 1) & (F.col("rank") < F.coalesce("_held", F.lit(1 << 30)))
+    kept = lists.where(F.col("_new").isNull() | (F.col("item") != F.col("_new"))).select(
+        "user", "item", (F.col("rank") + F.when(moves & (F.coalesce("_held", F.lit(0)) != 1), 1).otherwise(0)).alias("rank")
     )
-    added = chosen.join(recs.select("user").distinct(), "user", "left_semi").select(
-        "user", F.col("_new").alias("item"), F.lit(2.0).alias("_r")
+    added = chosen.join(recs.select("user").distinct(), "user", "left_semi").join(held, "user", "left").select(
+        "user", F.col("_new").alias("item"), F.when(F.col("_held") == 1, 1).otherwise(2).alias("rank")
     )
-    return top_per_group(moved.unionByName(added), ["user"], [F.asc("_r"), F.asc("item")], (1 << 31) - 1).drop("_r")
+    return kept.unionByName(added)

@@ -17,7 +17,7 @@ def _drawn_rows(rows: DataFrame, pool: DataFrame, slot: Column, keys: list[Colum
     """
     size = pool.count()
     picked = rows.withColumn("_slot", slot).withColumn("_at", draw(size, *keys, F.col("_slot"), seed=seed))
-    return picked.join(broadcast_if_small(pool, size), "_at").drop("_at")
+    return picked.join(broadcast_if_small(pool), "_at").drop("_at")
 
 
 def uniform_negatives(examples: DataFrame, items: DataFrame, n: int = 64, seed: int = 0, key: str = "pl",

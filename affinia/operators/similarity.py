@@ -139,7 +139,8 @@ def cf_recommend(ratings: DataFrame, similarity: DataFrame, mode: str = "user",
         )
     unseen = unseen_items(found, ratings)
     scored = unseen.groupBy("user", "item").agg(F.sum("similarity").alias("score"))
-    return top_per_group(scored, ["user"], [F.desc("score"), F.asc("item")], n)
+    # Rounded to compare, so that sums taken in another order still tie.
+    return top_per_group(scored, ["user"], [F.desc(F.round("score", 9)), F.asc("item")], n)
 
 
 def unseen_items(candidates: DataFrame, history: DataFrame) -> DataFrame:

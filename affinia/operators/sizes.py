@@ -5,17 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only where the counted rows allow it; else the join may shuffle.
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table of numbers, strings and flat arrays, counted and not estimated."""
+    fixed, parts = 0, []
+    for field in df.schema.fields:
+        kind = field.dataType.simpleString()
+        if kind == "string":
+            parts.append(F.coalesce(F.octet_length(field.name), F.lit(0)) + 16)
+        elif kind.startswith("array"):
+            parts.append(F.greatest(F.size(field.name), F.lit(0)) * 8 + 16)
+        else:
+            fixed += 8
+    each = sum(parts, F.lit(fixed))
+    return df.agg(F.coalesce(F.sum(each.cast("bigint")), F.lit(0))).first()[0]
 
-    For tables of a few short columns, such as dictionaries. Pass ``rows`` where the
-    count is already known.
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only where the measured bytes allow it; else the join may shuffle.
+
+    For tables that are cheap to read twice, such as checkpointed dictionaries.
     """
-    rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows <= limit else df
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
 def spread(scan: DataFrame) -> DataFrame:

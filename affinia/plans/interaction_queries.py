@@ -16,6 +16,7 @@ from affinia.operators import retrieval as RT
 from affinia.operators import sampling as SA
 from affinia.operators import similarity as S
 from affinia.operators import models as M
+from affinia.operators.indexing import dense_index, place_in_group, top_per_group
 from affinia.plans import views as V
 from affinia.plans.registry import query, rounded, stamp
 from affinia.plans.views import sql
@@ -293,11 +294,12 @@ RANKED_SQL = ", ranked AS (SELECT u, item, row_number() OVER (PARTITION BY u ORD
 
 
 def ranked(spark, sf, n: int | None = None) -> DataFrame:
-    from affinia.operators.indexing import top_per_group
-
+    """(user, item, rank): what a user touched most; the whole list, or its first n."""
     counts = V.views(spark, sf).groupBy("user", "item").agg(F.count("*").alias("_n"))
-    limit = n if n is not None else (1 << 31) - 1
-    return top_per_group(counts, ["user"], [F.desc("_n"), F.asc("item")], limit).drop("_n")
+    order = [F.desc("_n"), F.asc("item")]
+    if n is not None:
+        return top_per_group(counts, ["user"], order, n).drop("_n")
+    return place_in_group(counts, ["user"], *order, name="rank").withColumn("rank", F.col("rank") + 1).drop("_n")
 
 
 RANKED = sql("views items users", "SELECT 0").replace(" SELECT 0", RANKED_SQL)
@@ -312,8 +314,6 @@ RULES_SQL = (
     "hit AS (SELECT r.u, r.item, min(rule) AS rule FROM ranked r JOIN ranked b ON b.u = r.u AND b.rank < r.rank JOIN ways ON ways.first = b.item AND ways.second = r.item GROUP BY 1, 2) "
     'SELECT u AS "user", item, rank, rule AS dropped_by FROM ranked LEFT JOIN hit USING (u, item)'))
 def _(spark, sf):
-    from affinia.operators.indexing import dense_index
-
     numbered = dense_index(V.items(spark, sf).select("item", "size"), F.asc("size"), F.asc("item"), name="_at")
     after = numbered.select((F.col("_at") - 1).alias("_at"), "size", F.col("item").alias("second"))
     rules = numbered.join(after, ["_at", "size"]).select(F.col("item").alias("rule"), F.col("item").alias("first"), "second")
@@ -441,11 +441,15 @@ def _(spark, sf):
 
 
 @query("SIM-05_user_item_matrix", sql("latest", (
-    'SELECT u AS "user", max(rating) FILTER (WHERE item = 1) AS i1, max(rating) FILTER (WHERE item = 2) AS i2, max(rating) FILTER (WHERE item = 3) AS i3 '
-    "FROM latest WHERE item IN (1, 2, 3) GROUP BY 1")))
+    ", pop AS (SELECT item, row_number() OVER (ORDER BY count(*) DESC, item) AS rk FROM latest GROUP BY 1) "
+    'SELECT u AS "user", ' + ", ".join(f"max(rating) FILTER (WHERE rk = {i}) AS i{i}" for i in range(1, 21))
+    + " FROM latest JOIN pop USING (item) WHERE rk <= 20 GROUP BY 1")).replace(") ,", "),", 1))
 def _(spark, sf):
-    wide = I.user_item_matrix(latest(spark, sf), [1, 2, 3])
-    return wide.select("user", *[F.col(f"`{i}`").alias(f"i{i}") for i in (1, 2, 3)])
+    """The columns of the twenty most rated items, by rank."""
+    rows = latest(spark, sf)
+    best = I.rank_items(rows).where(F.col("rank") <= 20).select("item", "rank")
+    wide = I.user_item_matrix(rows.join(best, "item").drop("item").withColumnRenamed("rank", "item"), list(range(1, 21)))
+    return wide.select("user", *[F.col(f"`{i}`").alias(f"i{i}") for i in range(1, 21)])
 
 
 @query("JOIN-07_corated_self_join", sql("sums", 'SELECT l AS "left", r AS "right", n FROM sums'))
@@ -553,17 +557,14 @@ def _(spark, sf):
 @query("REC-04_cf_recommend_user", NEAR + (
     ", found AS (SELECT e AS u, l.item, sum(s) AS score FROM near JOIN latest l ON l.u = nb WHERE s > 0 AND l.rating >= 4 "
     "AND NOT EXISTS (SELECT 1 FROM latest x WHERE x.u = e AND x.item = l.item) GROUP BY 1, 2) "
-    'SELECT u AS "user", item, round(score, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(score, 7) DESC, item) AS rk FROM found) WHERE rk <= 10'))
+    'SELECT u AS "user", item, round(score, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(score, 9) DESC, item) AS rk FROM found) WHERE rk <= 10'))
 def _(spark, sf):
     rows = latest(spark, sf)
     return _cf(rows, S.user_similarity(rows), "user")
 
 
 def _cf(rows, similarity, mode) -> DataFrame:
-    from affinia.operators.indexing import top_per_group
-
-    every = S.cf_recommend(rows, solid(similarity), mode, 5, (1 << 31) - 1).select("user", "item", "score")
-    top = top_per_group(every, ["user"], [F.desc(F.round("score", 7)), F.asc("item")], 10)
+    top = S.cf_recommend(rows, solid(similarity), mode, 5, 10)
     return top.select("user", "item", rounded("score").alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -573,7 +574,7 @@ def _cf(rows, similarity, mode) -> DataFrame:
     "(SELECT l AS e, r AS nb, s FROM isim2 UNION ALL SELECT r, l, s FROM isim2)) WHERE rk <= 5 AND s > 0), "
     "found AS (SELECT l.u, nb AS item, sum(s) AS score FROM latest l JOIN inear ON e = l.item WHERE l.rating >= 4 "
     "AND NOT EXISTS (SELECT 1 FROM latest x WHERE x.u = l.u AND x.item = nb) GROUP BY 1, 2) "
-    'SELECT u AS "user", item, round(score, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(score, 7) DESC, item) AS rk FROM found) WHERE rk <= 10'))
+    'SELECT u AS "user", item, round(score, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(score, 9) DESC, item) AS rk FROM found) WHERE rk <= 10'))
 def _(spark, sf):
     rows = latest(spark, sf)
     return _cf(rows, S.user_similarity(rows, swap=True), "item")
@@ -718,9 +719,8 @@ def _(spark, sf):
 
 
 def _rank_table(scores_df) -> DataFrame:
-    from affinia.operators.indexing import top_per_group
-
-    return top_per_group(scores_df, ["user"], [F.desc("score"), F.asc("item")], (1 << 31) - 1)
+    placed = place_in_group(scores_df, ["user"], F.desc("score"), F.asc("item"), name="rank")
+    return placed.withColumn("rank", F.col("rank") + 1)
 
 
 @query("REC-10_collate_ranks", BLEND + (
@@ -728,8 +728,6 @@ def _rank_table(scores_df) -> DataFrame:
     "m AS (SELECT u, item, round(sum(x), 9) AS score FROM (SELECT u, item, 1.0::DOUBLE / rk AS x FROM rq UNION ALL SELECT u, item, 0.5::DOUBLE / rk FROM rw) GROUP BY 1, 2) "
     'SELECT * FROM (SELECT u AS "user", item, round(score, 6) AS score, row_number() OVER (PARTITION BY u ORDER BY score DESC, item) AS rank FROM m) WHERE rank <= 10'))
 def _(spark, sf):
-    from affinia.operators.indexing import top_per_group
-
     lists = {"view": (_rank_table(score_table(spark, sf, "view")), 1.0), "click": (_rank_table(score_table(spark, sf, "click")), 0.5)}
     merged = R.collate_ranks(lists).select("user", "item", rounded("score", 9).alias("score"))
     top = top_per_group(merged, ["user"], [F.desc("score"), F.asc("item")], 10)
@@ -755,17 +753,17 @@ def _(spark, sf):
 
 
 MODEL_SQL = (
-    ", pr AS (SELECT event_id AS key, event_type AS model, value / 100 AS score FROM events), "
+    ", pr AS (SELECT user_id AS key, event_type AS model, value / 100 AS score FROM events), "
     "mm AS (SELECT model, avg(score) AS m FROM pr GROUP BY 1), "
     "wt AS (SELECT model, 1.0::DOUBLE / (1 + abs(m - 0.5) / 0.25) AS w FROM mm) "
 )
 
 
 @query("REC-13_ensemble", "WITH" + MODEL_SQL[1:] + (
-    "SELECT key % 500 AS key, round(sum(score * w) / sum(w), 6) AS score FROM pr JOIN wt USING (model) GROUP BY 1"))
+    "SELECT key, round(sum(score * w) / sum(w), 6) AS score FROM pr JOIN wt USING (model) GROUP BY 1"))
 def _(spark, sf):
     predictions = V.table(spark, sf, "events").select(
-        (F.col("event_id") % 500).alias("key"), F.col("event_type").alias("model"), (F.col("value") / 100).alias("score")
+        F.col("user_id").alias("key"), F.col("event_type").alias("model"), (F.col("value") / 100).alias("score")
     )
     priors = predictions.select("model").distinct().select("model", F.lit(0.5).alias("prior_mean"), F.lit(0.25).alias("prior_sd"))
     return R.ensemble(predictions, priors).select("key", rounded("score").alias("score"))
@@ -798,12 +796,13 @@ def _(spark, sf):
 
 @query("REC-15_new_item_exposure", RANKED + (
     ", arr AS (SELECT u, row_number() OVER (ORDER BY min(ts), u) - 1 AS p FROM views GROUP BY 1), "
-    "nw AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS p FROM items WHERE price < 903), "
+    "nw AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS p FROM items WHERE item NOT IN (SELECT item FROM views)), "
     "ch AS (SELECT arr.u, nw.item FROM arr JOIN nw ON nw.p = arr.p // 20), "
     "kept AS (SELECT r.u, r.item, r.rank + CASE WHEN ch.item IS NOT NULL AND r.rank > 1 THEN 1 ELSE 0 END AS r FROM ranked r LEFT JOIN ch USING (u) WHERE ch.item IS NULL OR ch.item <> r.item), "
     'every AS (SELECT u, item, r FROM kept UNION ALL SELECT u, item, 2 FROM ch) SELECT u AS "user", item, row_number() OVER (PARTITION BY u ORDER BY r, item) AS rank FROM every'))
 def _(spark, sf):
-    new = V.items(spark, sf).where(F.col("price") < 903)
+    """New items are those that no event has touched yet."""
+    new = V.items(spark, sf).join(V.views(spark, sf).select("item"), "item", "left_anti")
     out = R.new_item_exposure(ranked(spark, sf), new, V.views(spark, sf), 20)
     return out.select("user", "item", F.col("rank").cast("bigint").alias("rank"))
 

@@ -68,11 +68,14 @@ def _(spark, sf):
 @query("STR-04_stream_sessions", sql("views", (
     ", g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS nw FROM views WINDOW w AS (PARTITION BY u ORDER BY ts)), "
     "s AS (SELECT *, sum(nw) OVER (PARTITION BY u ORDER BY ts) AS n FROM g) "
-    "SELECT u AS \"user\", " + STAMP.format("min(ts)") + " AS \"start\", string_agg(item, ' ' ORDER BY ts) AS items FROM s GROUP BY u, n "
-    "HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM views) - INTERVAL 1 HOUR")).replace(") ,", "),", 1))
+    ", b AS (SELECT u, n, min(ts) AS t0, count(*) AS clicks FROM s GROUP BY u, n HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM views) - INTERVAL 1 HOUR) "
+    "SELECT event_id, u AS \"user\", " + STAMP.format("t0") + " AS \"start\", clicks, row_number() OVER (PARTITION BY u, n ORDER BY ts, event_id) AS step FROM s JOIN b USING (u, n)")).replace(") ,", "),", 1))
 def _(spark, sf):
-    rows = finished(spark, ST.stream_sessions(event_stream(spark, sf), "6 hours"))
-    return rows.select("user", stamp("start").alias("start"), F.array_join("items", " ").alias("items"))
+    """Finished sessions of the stream, with their clicks in order from the event table."""
+    sessions = finished(spark, ST.stream_sessions(event_stream(spark, sf), "6 hours"))
+    events = V.views(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = ST.session_clicks(events, sessions).join(sessions.select("user", "start", "clicks"), ["user", "start"])
+    return rows.select("event_id", "user", stamp("start").alias("start"), "clicks", "step")
 
 
 @query("STR-05_speed_layer_similarity", sql("latest", (

@@ -369,22 +369,22 @@ def _(spark, sf):
     return O.sentence_examples(sparse)
 
 
-@query("WIN-08_sentence_windows", sql("pls", (
-    ", w AS (SELECT pl, pos // 16 AS win, list(track_idx ORDER BY pos) AS t FROM pls GROUP BY 1, 2) "
-    "SELECT pl, win AS \"window\", array_to_string(list_resize(t, 16, 0), ' ') AS tokens FROM w")).replace(") ,", "),", 1))
+@query("WIN-08_sentence_windows", sql("docs", (
+    ", t AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS pos FROM docs), "
+    "w AS (SELECT doc_id, pos // 64 AS win, list(length(token) ORDER BY pos) AS t FROM t GROUP BY 1, 2) "
+    "SELECT doc_id, win AS \"window\", array_to_string(list_resize(t, 64, 0), ' ') AS tokens FROM w")).replace(") ,", "),", 1))
 def _(spark, sf):
-    rows = V.playlists(spark, sf).groupBy("pl").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "track_idx"))).alias("_t")
-    ).select("pl", F.col("_t.track_idx").alias("token_index"))
-    out = O.sentence_windows(rows, 16, "pl")
-    return out.select("pl", F.col("window").cast("bigint").alias("window"), F.array_join("tokens", " ").alias("tokens"))
+    """Whole documents as numbers (token lengths) in windows of 64."""
+    rows = V.docs(spark, sf).select("doc_id", F.transform("tokens", lambda t: F.length(t).cast("bigint")).alias("token_index"))
+    out = O.sentence_windows(rows, 64, "doc_id")
+    return out.select("doc_id", F.col("window").cast("bigint").alias("window"), F.array_join("tokens", " ").alias("tokens"))
 
 
-@query("SCL-22_pad_or_truncate", sql("pls", (
-    "SELECT pl, array_to_string(list_resize(list(track_idx ORDER BY pos), 24, 0), ' ') AS tokens FROM pls GROUP BY pl")))
+@query("SCL-22_pad_or_truncate", sql("docs", (
+    "SELECT doc_id, array_to_string(list_resize(list_transform(tokens, lambda t: length(t)), 200, 0), ' ') AS tokens FROM docs")))
 def _(spark, sf):
-    rows = V.playlists(spark, sf).groupBy("pl").agg(F.array_sort(F.collect_list(F.struct("pos", "track_idx"))).alias("_t"))
-    return rows.select("pl", F.array_join(text.pad_or_truncate(F.col("_t.track_idx"), 24), " ").alias("tokens"))
+    numbers = F.transform("tokens", lambda t: F.length(t))
+    return V.docs(spark, sf).select("doc_id", F.array_join(text.pad_or_truncate(numbers, 200), " ").alias("tokens"))
 
 
 # ---- co-occurrence ---------------------------------------------------------------------

@@ -261,10 +261,20 @@ def _(spark, sf):
 
 @query("REC-06_item_embeddings")
 def _(spark, sf):
-    rows = V.playlists(spark, sf).groupBy("pl").agg(F.array_sort(F.collect_list(F.struct("pos", "track_idx"))).alias("_t"))
+    """Histories in pieces of at most 1,000 tracks, which is also the longest sentence of the fit."""
+    pieces = V.playlists(spark, sf).withColumn("piece", F.floor(F.col("pos") / 1000))
+    rows = pieces.groupBy("pl", "piece").agg(F.array_sort(F.collect_list(F.struct("pos", "track_idx"))).alias("_t"))
     return M.item_embeddings(rows.select(F.col("_t.track_idx").alias("items")), "items", dim=8)
 
 
+@query("REC-06_fitted_embeddings")
+def _(spark, sf):
+    """The form for vocabularies too large for one machine."""
+    pieces = V.playlists(spark, sf).withColumn("piece", F.floor(F.col("pos") / 1000))
+    rows = pieces.groupBy("pl", "piece").agg(F.array_sort(F.collect_list(F.struct("pos", "track_idx"))).alias("_t"))
+    return M.item_embeddings(rows.select(F.col("_t.track_idx").alias("items")), "items", dim=4, most_bytes=0)
+
+
 # ---- text queries ------------------------------------------------------------------------
 
 BENCH_SEP = text.SEPARATORS.replace("'", "''")
@@ -526,11 +536,11 @@ def loss_rows(spark, sf) -> DataFrame:
     vecs = V.vecs(spark, sf)
     rows = P.context_vectors(examples(spark, sf), vecs, vecs, "pl", 100)
     tracks = corpus(spark, sf)
-    context = rows.select("pl", "context_vecs", "album_context", "artist_context")
-    nexts = rows.select("pl", F.posexplode("next_track").alias("_at", "track_idx")).join(
-        tracks.select("track_idx", "album_idx", "artist_idx", "vec"), "track_idx"
-    )
-    drawn = SA.uniform_negatives(rows, tracks.select("track_idx", "album_idx", "artist_idx", "vec"), 16)
+    context = rows.where(F.col("chunk") == 0).select("pl", "context_vecs", "album_context", "artist_context")
+    vectors = tracks.select("track_idx", "album_idx", "artist_idx", "vec")
+    # Negatives go with the first row of a playlist; further rows only have more next tracks.
+    nexts = rows.where(F.col("chunk") == 0).select("pl", F.explode("next_track").alias("track_idx")).join(vectors, "track_idx")
+    drawn = SA.uniform_negatives(context, vectors, 16)
     out = context.select("pl", "context_vecs")
     for name, found in (("pos", nexts), ("neg", drawn)):
         scored = found.join(context, "pl").withColumn("s", P.context_affinity(found))

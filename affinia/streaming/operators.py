@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from affinia.operators.bloom import bloom_build
 from affinia.operators.evaluate import binned, kl_divergence
+from affinia.operators.features import asof_join
+from affinia.operators.indexing import place_in_group
 from affinia.operators.similarity import similarity_delta
 from affinia.streaming.tables import each_batch, latest_rows, read_parts, write_part
 
@@ -32,13 +34,23 @@ def stream_hourly_metrics(events: DataFrame, delay: str = "10 minutes") -> DataF
 
 
 def stream_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
-    """(user, start, end, clicks): items in time order per finished session."""
+    """(user, start, end, clicks): finished sessions and how many clicks they have.
+
+    The state holds three values per open session, however many clicks it has; the
+    clicks themselves are put in order by ``session_clicks``.
+    """
     found = events.withWatermark("ts", delay).groupBy("user", F.session_window("ts", gap).alias("w")).agg(
-        F.array_sort(F.collect_list(F.struct("ts", "event_id", "item"))).alias("_c")
-    )
-    return found.select(
-        "user", F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.col("_c.item").alias("items")
+        F.count("*").alias("clicks")
     )
+    return found.select("user", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "clicks")
+
+
+def session_clicks(events: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Events of finished sessions with the session's start and their ``step`` in it."""
+    starts = sessions.select("user", F.col("start").alias("ts"), "start", "end")
+    inside = asof_join(events, starts, "user").where(F.col("ts") < F.col("end"))
+    placed = place_in_group(inside, ["user", "start"], F.asc("ts"), F.asc("event_id"), name="step")
+    return placed.withColumn("step", F.col("step") + 1).drop("end")
 
 
 def stream_outcome_join(preds: DataFrame, outcomes: DataFrame, bound: str, delay: str = "1 hour") -> DataFrame:

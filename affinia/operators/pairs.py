@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinia.session import cut_lineage
+
 GROUP_LIMIT = 512
 BLOCK = 1024
 SUMS = ["n", "sxy", "sxx", "syy"]
@@ -153,6 +155,8 @@ def pair_sums(
         F.col(entity).alias("entity"), F.col(feature).alias("feature"), x.cast("double").alias("x"),
         (fresh if only_fresh else F.lit(True)).alias("fresh"),
     )
+    # Read several times below; what led to the rows is worked out once.
+    rows = cut_lineage(rows)
     large = rows.groupBy("feature").agg(F.count("*").alias("_n")).where(F.col("_n") > group_limit)
     any_large = not large.select("feature").isEmpty()
     small = rows.join(large, "feature", "left_anti") if any_large else rows
@@ -207,7 +211,8 @@ def shared_counts(
     """
     a = left.select(F.col(left_key).alias("_le"), F.col(feature).alias("feature"))
     b = right.select(F.col(right_key).alias("_re"), F.col(feature).alias("feature"))
-    b = b.join(a.select("feature").distinct(), "feature", "left_semi")
+    a = cut_lineage(a)
+    b = cut_lineage(b.join(a.select("feature").distinct(), "feature", "left_semi"))
     large = b.groupBy("feature").agg(F.count("*").alias("_n")).where(F.col("_n") > group_limit)
     any_large = not large.select("feature").isEmpty()
     small = b.join(large, "feature", "left_anti") if any_large else b

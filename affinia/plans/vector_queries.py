@@ -17,12 +17,14 @@ from affinia.operators import playlists as P
 from affinia.operators import retrieval as RT
 from affinia.operators import sampling as SA
 from affinia.operators import vectors as VE
+from affinia.operators.filters import min_playlist_length
 from affinia.operators.indexing import top_per_group
 from affinia.plans import views as V
 from affinia.plans.interaction_queries import score_table
 from affinia.plans.registry import query, rounded
 from affinia.plans.text_queries import COO, digest, title_pairs, triples
 from affinia.plans.views import sql
+from affinia.session import cut_lineage
 
 
 def with_sql(names: str, more: str) -> str:
@@ -445,8 +447,6 @@ def _(spark, sf):
 
 @query("FLT-05_min_playlist_length", sql("pls", "SELECT DISTINCT pl, num_tracks FROM pls WHERE num_tracks >= 40"))
 def _(spark, sf):
-    from affinia.operators.filters import min_playlist_length
-
     return min_playlist_length(V.playlists(spark, sf), 40).select("pl", "num_tracks").distinct()
 
 
@@ -455,10 +455,9 @@ def _(spark, sf):
     return V.playlists(spark, sf).select("pl", "pos", keys.album_bucket(F.col("album_idx"), 97).alias("bucket"))
 
 
-def examples(spark, sf) -> DataFrame:
-    from affinia.operators.filters import min_playlist_length
-
-    return P.split_context_next(min_playlist_length(V.playlists(spark, sf), 10))
+def examples(spark, sf, tracks: DataFrame | None = None) -> DataFrame:
+    tracks = V.playlists(spark, sf) if tracks is None else tracks
+    return P.split_context_next(min_playlist_length(tracks, 10))
 
 
 EX_SQL = "ex AS (SELECT * FROM pls WHERE num_tracks >= 10)"
@@ -483,16 +482,18 @@ def _(spark, sf):
     )
 
 
-def corpus(spark, sf) -> DataFrame:
+def corpus(spark, sf, tracks: DataFrame | None = None) -> DataFrame:
     """Each track once, as first seen, with its album and artist vectors."""
-    first = P.first_record(V.playlists(spark, sf), "track_idx", "file", "pl", "pos")
+    tracks = V.playlists(spark, sf) if tracks is None else tracks
+    first = P.first_record(tracks, "track_idx", "file", "pl", "pos")
     return P.album_artist_vectors(first, V.vecs(spark, sf), V.vecs(spark, sf), 100)
 
 
 def ranked_corpus(spark, sf, k: int):
-    rows = examples(spark, sf)
+    tracks = V.playlists(spark, sf)
+    rows = cut_lineage(examples(spark, sf, tracks))
     vecs = V.vecs(spark, sf)
-    return P.score_corpus(P.context_vectors(rows, vecs, vecs, "pl", 100), corpus(spark, sf), k), rows
+    return P.score_corpus(P.context_vectors(rows, vecs, vecs, "pl", 100), corpus(spark, sf, tracks), k), rows
 
 
 AFF_SQL = EX_SQL + (
@@ -534,8 +535,9 @@ def _(spark, sf):
 def loss_rows(spark, sf) -> DataFrame:
     """Examples with the vectors and affinities of next tracks and of drawn negatives."""
     vecs = V.vecs(spark, sf)
-    rows = P.context_vectors(examples(spark, sf), vecs, vecs, "pl", 100)
-    tracks = corpus(spark, sf)
+    listed = V.playlists(spark, sf)
+    rows = cut_lineage(P.context_vectors(examples(spark, sf, listed), vecs, vecs, "pl", 100))
+    tracks = cut_lineage(corpus(spark, sf, listed))
     context = rows.where(F.col("chunk") == 0).select("pl", "context_vecs", "album_context", "artist_context")
     vectors = tracks.select("track_idx", "album_idx", "artist_idx", "vec")
     # Negatives go with the first row of a playlist; further rows only have more next tracks.

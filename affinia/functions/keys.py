@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: where images lie.
 IMAGE_PREFIX = "http://i.pinimg.com/400x"
 
 

@@ -9,6 +9,7 @@ from affinia.functions import keys, scores, text
 from affinia.operators import cooccurrence as C
 from affinia.operators import dictionary as D
 from affinia.operators import documents as O
+from affinia.operators.sizes import spread
 from affinia.plans import views as V
 from affinia.plans.registry import query, rounded, stamp
 from affinia.plans.views import sql
@@ -290,7 +291,8 @@ def _(spark, sf):
 
 def _link_docs(spark, sf) -> DataFrame:
     """Pages with their links and tokens, keyed by url."""
-    tokens = V.table(spark, sf, "pages").select("url", text.simple_tokenize(F.col("html")).alias("tokens"))
+    raw = spread(V.table(spark, sf, "pages").select("url", "html"))
+    tokens = raw.select("url", text.simple_tokenize(F.col("html")).alias("tokens"))
     return V.links(spark, sf).join(tokens, "url")
 
 

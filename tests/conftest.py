@@ -11,7 +11,7 @@ from affinia.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -28,13 +28,14 @@ def test_dense_index(spark, parts):
         df = spark.createDataFrame(values, "a bigint, b bigint").repartition(7)
         got = IX.dense_index(df, F.desc("a"), F.asc("b")).collect()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     order = sorted(values, key=lambda v: (-v[0], v[1]))
     assert {(r["a"], r["b"]): r["index"] for r in got} == {v: i for i, v in enumerate(order)}
 
 
 def test_last_seen_crosses_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         values = [(i, i if i % 100 == 0 else None) for i in range(1000)]
         df = spark.createDataFrame(values, "k bigint, v bigint").repartition(16)
@@ -45,6 +46,7 @@ def test_last_seen_crosses_partitions(spark):
         run = IX.running_sum(placed.withColumn("one", F.lit(1)), "one", "n").collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert all(r["seen"] == r["k"] // 100 * 100 for r in got)
     assert all(r["seen"] == (None if r["k"] == 0 else (r["k"] - 1) // 100 * 100) for r in before)
     assert all(r["n"] == r["k"] + 1 for r in run)
@@ -59,6 +61,7 @@ def make_events(spark, data):
 
 def test_sessions_of_one_hot_user(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         rng = random.Random(3)
         minute, data = 0, []
@@ -69,6 +72,7 @@ def test_sessions_of_one_hot_user(spark):
         got = {r["event_id"]: (r["session"], r["step"]) for r in I.session_sequence(make_events(spark, data), 30).collect()}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     session, step, last = 0, 0, None
     for i, (user, _, m, _) in enumerate(data[:600]):
         session, step = (session, step + 1) if last is not None and m - last <= 30 else (session + 1, 1)

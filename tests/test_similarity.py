@@ -128,7 +128,7 @@ def test_similarity_does_not_depend_on_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
         got = S.user_similarity(df.repartition(parts), group_limit=6, block=5)
         seen.add(tuple(rows(got, "left", "right", F.round("similarity", 9))))
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(seen) == 1
 
 

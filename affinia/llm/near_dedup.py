@@ -134,6 +134,17 @@ def _full_sets(size: int):
     return run
 
 
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes, items = batch.column(0), batch.column(1).to_pylist()
+        lengths = np.array([len(x) // 8 for x in items])
+        for at in range(0, len(items), 256):
+            repeated = np.repeat(np.arange(at, at + len(lengths[at:at + 256])), lengths[at:at + 256])
+            yield pa.RecordBatch.from_arrays([
+                nodes.take(pa.array(repeated)), pa.array(np.frombuffer(b"".join(items[at:at + 256]), np.int64))],
+                names=["node", "item"])
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,15 +178,17 @@ def _candidates(open_keys: DataFrame, members: DataFrame, sample: int | None, pe
     asking = rows.where("component <> largest")
     if sample == 1:
         asked = open_keys.select("key", F.col("hub.node").alias("node2"), F.col("hub.component").alias("component2"),
-                                 F.col("hub.n_items").alias("n2"))
+                                 F.col("hub.n_items").alias("n2"), F.col("hub.n_shared").alias("s2"))
     else:
         chosen = rows if sample is None else rows.where(
             F.xxhash64("node") / F.lit(2.0**64) + 0.5 <= F.lit(float(sample)) / F.col("n_nodes"))
         asked = chosen.select("key", F.col("node").alias("node2"), F.col("component").alias("component2"),
-                              F.col("n_items").alias("n2"))
-    pairs = asking.select("key", "node", "component", "n_items").join(asked, "key").where(
+                              F.col("n_items").alias("n2"), F.col("n_shared").alias("s2"))
+    # An intersection is at most the smaller set, and at most what either set shares with any other.
+    pairs = asking.select("key", "node", "component", "n_items", "n_shared").join(asked, "key").where(
         (F.col("component") != F.col("component2"))
-        & (F.lit(100) * F.least("n_items", "n2") >= F.lit(percent) * F.greatest("n_items", "n2")))
+        & (F.lit(100) * F.least("n_items", "n2") >= F.lit(percent) * F.greatest("n_items", "n2"))
+        & (F.lit(100 + percent) * F.least("n_shared", "s2") >= F.lit(percent) * (F.col("n_items") + F.col("n2"))))
     return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
 
@@ -215,11 +228,17 @@ def near_duplicates(
     texts = source.join(chosen, "doc_id", "left_semi").select("text")
     sets = written(texts.mapInArrow(_full_sets(shingle), "node bigint, sketch binary, items binary").join(
         nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    # Shingles of one candidate alone are in no intersection: what is left bounds them all.
+    single = sets.select("node", "items").mapInArrow(_items, "node bigint, item bigint").groupBy("item").agg(
+        F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    lone = single.groupBy("node").agg(F.count("*").alias("lone"))
+    members = members.join(lone, "node", "left").withColumn("n_shared", F.col("n_items") - F.coalesce("lone", F.lit(0)))
+    members = written(members.where(F.lit(100) * F.col("n_shared") >= F.lit(percent) * F.col("n_items")).drop("lone"), "members")
     links = tried = None
     labelled = members.withColumn("component", F.col("node"))
     for sample in (1, 8, 128, None):
         sizes = labelled.groupBy("key", "component").agg(
-            F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node", "component", "n_items")).alias("hub"))
+            F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node", "component", "n_items", "n_shared")).alias("hub"))
         keys = sizes.groupBy("key").agg(
             F.max(F.struct("n", "component")).alias("_top"), F.sum("n").alias("n_nodes"),
             F.count("*").alias("_parts"), F.min("hub").alias("hub"))

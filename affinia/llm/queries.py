@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from affinia.llm import near_dedup, packing, quality
+from affinia.llm import decontaminate, line_dedup, near_dedup, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,3 +64,82 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+with split as (select doc_id, text, string_split(text, chr(10)) ls from documents where length(text) > 0),
+numbered as (select doc_id, ls, unnest(range(len(ls))) i from split),
+masked as (
+  select doc_id, i, len(ls) = 1 alone, struct_pack(a := case when i > 0 then ls[i] end,
+      b := case when i + 1 < len(ls) then ls[i + 2] end, c := i > 0, d := i + 1 < len(ls)) surround,
+    regexp_replace(trim(regexp_replace(ls[i + 1], '[ \\t\\r\\x0B\\f]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') m
+  from numbered),
+lines as (
+  select *, string_split(m, ' ') ts, struct_pack(n := len(string_split(m, ' ')), h := string_split(m, ' ')[1:3]) leaf
+  from masked where m <> ''),
+crowded as (select * from lines where leaf in (select leaf from lines group by leaf having count(*) >= 5)),
+kinds as (select leaf, m, any_value(ts) ts, count(*) n from crowded group by leaf, m),
+tokens as (select leaf, n, unnest(ts) t, generate_subscripts(ts, 1) p from kinds),
+total as (select leaf, p, sum(n) total from tokens group by leaf, p),
+fixed as (
+  select t.leaf, t.p, t.t from (select leaf, p, t, sum(n) n from tokens group by leaf, p, t) t
+  join total using (leaf, p) where t.p <= 3 or 2 * t.n >= total),
+spread as (
+  select leaf, m, generate_subscripts(ts, 1) p, unnest(ts) t from kinds),
+shown as (
+  select s.leaf, s.m, list(coalesce(f.t, '<*>') order by s.p) shown
+  from spread s left join fixed f on f.leaf = s.leaf and f.p = s.p and f.t = s.t group by s.leaf, s.m),
+named as (
+  select leaf, m, case when len(list_filter(shown, lambda t: t <> '<*>')) >= 0.7 * len(shown)
+    then array_to_string(shown, ' ') else m end template from shown),
+placed as (select c.*, template from crowded c join named using (leaf, m)),
+often as (
+  select leaf, template from placed group by leaf, template
+  having count(distinct surround) >= 5 and 2 * count(distinct surround) >= count(*)),
+gone as (select doc_id, list(i) g from placed join often using (leaf, template) where not alone group by doc_id)
+select d.doc_id, case when length(text) > 0 then len(string_split(text, chr(10))) else 0 end n_lines,
+  coalesce(len(g), 0) n_dropped,
+  sha256(case when g is null then coalesce(text, '') else
+    array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: not list_contains(g, i - 1)), chr(10)) end) kept_sha256
+from documents d left join gone using (doc_id)
+"""
+
+
+@query("op2_line_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_SEED_SQL = " union all ".join(
+    "select {id}, i, %d k, [%s] seed from (select {id}, w, unnest(range(0, len(w) - %d, {step})) i from {t} where len(w) >= %d)"
+    % (n, ", ".join(f"w[i + {o + 1}]" for o in mask), decontaminate.SPAN - 1, decontaminate.SPAN)
+    for n, mask in enumerate(decontaminate.MASKS))
+
+OP6_SQL = f"""
+with d as (
+  select doc_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
+    lambda x: x <> '') w from documents),
+b as (
+  select item_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
+    lambda x: x <> '') w from benchmark),
+train as ({_SEED_SQL.format(id="doc_id", step=decontaminate.STEP, t="d")}),
+test as ({_SEED_SQL.format(id="item_id", step=1, t="b")}),
+hits as (select distinct doc_id, item_id, train.i - test.i shift from train join test using (k, seed)),
+aligned as (
+  select doc_id, item_id, list_transform(b.w, lambda x, i: case when i + shift between 1 and len(d.w)
+    and d.w[i + shift] = x then 1 else 0 end) same
+  from hits join d using (doc_id) join b using (item_id)),
+scored as (
+  select doc_id, item_id, list_sum(same) matched,
+    list_max(list_transform(range(0, greatest(len(same) - 13, 0) + 1), lambda s: list_sum(same[s + 1:s + 13]))) best,
+    case when len(same) >= 13 then 11 else len(same) end least from aligned),
+found as (
+  select doc_id, item_id, max(struct_pack(matched := matched, best := best)) m from scored where best >= least group by all)
+select doc_id, item_id, m.matched::bigint matched, m.best::bigint best from found
+"""
+
+
+@query("op6_benchmark_decontamination", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

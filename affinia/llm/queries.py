@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import decontaminate, line_dedup, near_dedup, packing, quality
+from affinia.llm import decontaminate, fingerprints, line_dedup, near_dedup, packing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +143,13 @@ select doc_id, item_id, m.matched::bigint matched, m.best::bigint best from foun
 @query("op6_benchmark_decontamination", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_document_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op9_secret_scans")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import decontaminate, fingerprints, line_dedup, near_dedup, packing, quality, secrets
+from affinia.llm import (
+    decontaminate, fingerprints, html_text, line_dedup, near_dedup, packing, quality, secrets,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,3 +155,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_scans")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinia.llm import (
-    decontaminate, fingerprints, html_text, line_dedup, near_dedup, packing, quality, secrets,
+    decontaminate, fingerprints, html_text, line_dedup, near_dedup, packing, quality, secrets, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_extraction")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinia.llm import (
-    decontaminate, fingerprints, html_text, line_dedup, near_dedup, packing, quality, secrets, toxicity,
+    decontaminate, fingerprints, html_text, line_dedup, near_dedup, packing, quality, secrets, substring_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

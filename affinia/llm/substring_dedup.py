@@ -9,7 +9,9 @@ stretches become neighbours, and the strings of different stretches of one bucke
 compared one by one.
 
 Leading bytes that many suffixes share are split over several buckets by the whole
-stretch; what such buckets leave open is compared across them afterwards.
+stretch; what such buckets leave open is compared across them afterwards. Of a stretch
+that is itself so frequent two copies per task go to its bucket: more are repeated for
+sure, and are dealt out evenly.
 """
 
 from __future__ import annotations
@@ -133,9 +135,10 @@ def _has(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
 _FOUND = "bucket bigint, anchor bigint, stretch bigint, key bigint, start bigint, size bigint, bytes binary"
 
 
-def _emit(length: int, filters, split: dict[int, int]):
+def _emit(length: int, filters, split: dict[int, int], frequent: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated, various = filters.value
+        common, told = np.array(sorted(frequent), dtype=np.int64), dict.fromkeys(frequent, 0)
         names = np.array(sorted(split), dtype=np.int64)
         ways = np.array([split[a] for a in sorted(split)], dtype=np.uint64)
         for batch in batches:
@@ -151,17 +154,39 @@ def _emit(length: int, filters, split: dict[int, int]):
                     hot = names[spot] == signed
                     bucket[hot] = mix(anchor[hot] * STEP + stretch[hot] % ways[spot[hot]])
                 at, raw = own[:-1][text] + start, piece.tobytes()
-                needed = _has(various, anchor)
+                needed, sure = _has(various, anchor), np.isin(stretch.view(np.int64), common)
+                for k in np.flatnonzero(sure).tolist():
+                    name = int(stretch[k].view(np.int64))
+                    told[name] += 1
+                    sure[k] = told[name] > 2
+                bucket[sure] = mix(keys[i + text][sure].view(np.uint64) * STEP + (start[sure] + shift).astype(np.uint64))
+                needed &= ~sure
                 content = [raw[s:s + n - 1 + length] if k else None for s, n, k in zip(at.tolist(), size.tolist(), needed.tolist())]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(bucket.view(np.int64)), pa.array(signed), pa.array(stretch.view(np.int64)), pa.array(keys[i + text]),
-                    pa.array(start + shift), pa.array(size), pa.array(content, pa.binary())],
+                    pa.array(start + shift), pa.array(np.where(sure, -size, size)), pa.array(content, pa.binary())],
                     names=["bucket", "anchor", "stretch", "key", "start", "size", "bytes"])
     return run
 
 
 def _compare(rows: pa.Table, length: int, split: dict[int, int]) -> pa.RecordBatch:
-    """Repeated ranges among rows sorted by bucket, anchor and stretch; whole groups only."""
+    """Repeated ranges among rows sorted by bucket and stretch; whole groups only.
+
+    A negative size marks a stretch that is known to be repeated.
+    """
+    sure = rows.column(5).to_numpy() < 0
+    out = []
+    if sure.any():
+        key, start, size = (rows.column(k).to_numpy()[sure] for k in (3, 4, 5))
+        out.append((key, start, start - size - 1 + length, np.zeros(len(key), np.int64)))
+        rows = rows.filter(pa.array(~sure)).combine_chunks()
+    if rows.num_rows:
+        out += _compared(rows, length, split)
+    columns = [np.concatenate([o[k] for o in out]) for k in range(4)]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["key", "start", "end", "window"])
+
+
+def _compared(rows: pa.Table, length: int, split: dict[int, int]) -> list[tuple[np.ndarray, ...]]:
     bucket, stretch, key, start, size = (rows.column(k).to_numpy() for k in (0, 2, 3, 4, 5))
     new_group = np.concatenate([[True], bucket[1:] != bucket[:-1]])
     new_kind = new_group | np.concatenate([[True], stretch[1:] != stretch[:-1]])
@@ -202,8 +227,7 @@ def _compare(rows: pa.Table, length: int, split: dict[int, int]) -> pa.RecordBat
             begin = start[own] + j[open_][first]
             settled = known[open_][first] | ~single[of[open_][first]]
             out.append((key[own], begin, np.where(settled, -2, -1), h[open_][first].view(np.int64)))
-    columns = [np.concatenate([o[k] for o in out]) for k in range(4)]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["key", "start", "end", "window"])
+    return out
 
 
 def _sorted_buckets(length: int, split: dict[int, int], least: int = 4096):
@@ -254,14 +278,17 @@ def repeated_ranges(source: DataFrame, length: int = LENGTH, crowd: int = CROWD)
     """(key, start, end): byte ranges of (key, text) rows covered by strings that occur twice."""
     session = source.sparkSession
     seen = source.select("text").mapInArrow(_count(length), "anchor bigint, stretch bigint")
-    seen = seen.groupBy("anchor").agg(F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"))
-    repeated = written(seen.where("n > 1").select("anchor", "n", (F.col("low") != F.col("high")).alias("various")), "anchors")
+    each = seen.groupBy("anchor", "stretch").agg(F.count("*").alias("n"))
+    seen = each.groupBy("anchor").agg(
+        F.max("n").alias("most"), F.max_by("stretch", "n").alias("often"), F.sum("n").alias("n"), F.count("*").alias("kinds"))
+    repeated = written(seen.where("n > 1").withColumn("various", F.col("kinds") > 1), "anchors")
     total = repeated.agg(F.sum("n")).first()[0] or 0
     least = max(crowd, total // SHARE)
     # At most SHARE rows, whatever the input: each has more than one in SHARE of all.
     split = {r["anchor"]: -(-r["n"] // least) for r in repeated.where((F.col("n") > least) & F.col("various")).collect()}
+    frequent = [r["often"] for r in repeated.where(F.col("most") > least).select("often").collect()]
     filters = session.sparkContext.broadcast((_filter(repeated), _filter(repeated.where("various"))))
-    found = source.mapInArrow(_emit(length, filters, split), _FOUND)
+    found = source.mapInArrow(_emit(length, filters, split, frequent), _FOUND)
     found = found.repartition("bucket").sortWithinPartitions("bucket", "stretch")
     ranges = found.mapInArrow(_sorted_buckets(length, split), "key bigint, start bigint, end bigint, window bigint")
     ranges = written(ranges, "ranges")

@@ -69,7 +69,7 @@ def leaks(
         test = F.broadcast(test)
     hits = train.join(test, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     # Only documents with hits are read on; words are compared under each hit's shift.
-    placed = own.select("doc_id", words_of(F.col("text")).alias("words")).join(hits, "doc_id").join(items, "item_id")
+    placed = own.join(hits, "doc_id").withColumn("words", words_of(F.col("text"))).join(items, "item_id")
     agrees = F.expr(
         "transform(item_words, (w, i) -> if(i + shift >= 0 and i + shift < size(words) and get(words, i + shift) = w, 1, 0))")
     best = F.expr(

@@ -10,17 +10,20 @@ surroundings, are dropped.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from hashlib import blake2b
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinia.llm.tables import FILTER_BITS, bit_filter, written
+
 DEPTH = 3
 FIELD = "<*>"
-
-
-def _masked(line: Column) -> Column:
-    """The line's tokens by one space, with every token that has a digit as a field."""
-    plain = F.trim(F.regexp_replace(line, r"[ \t\r\x0B\f]+", " "))
-    return F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", FIELD)
+_DIGIT = re.compile(rb"[0-9]")
+_LINE = ["key", "line_no", "alone", "surround", "masked", "leaf"]
 
 
 def _key(id_col: str, text_col: str) -> Column:
@@ -28,20 +31,57 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def tree_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
-    """(key, line_no, alone, surround, masked, leaf) of every line that has a token.
+def _hash(*parts: bytes) -> int:
+    return int.from_bytes(blake2b(b"\n".join(parts), digest_size=8).digest(), "little", signed=True)
+
+
+def _tree_lines(depth: int, wanted=None):
+    """Per text (key, lines): the leaf of each of its lines, or all of those of wanted leaves."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], [], []]
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                lines = text.as_py().encode().split(b"\n")
+                for at, line in enumerate(lines):
+                    tokens = line.split()
+                    if not tokens:
+                        continue
+                    if _DIGIT.search(line):
+                        tokens = [FIELD.encode() if _DIGIT.search(t) else t for t in tokens]
+                    leaf = _hash(str(len(tokens)).encode(), *tokens[:depth])
+                    out[5].append(leaf)
+                    if wanted is not None:
+                        spot = leaf % FILTER_BITS
+                        if not wanted.value[spot >> 3] >> (spot & 7) & 1:
+                            out[5].pop()
+                            continue
+                        before, after = at > 0, at + 1 < len(lines)
+                        near = _hash(b"%d%d" % (before, after), lines[at - 1] if before else b"", lines[at + 1] if after else b"")
+                        for k, v in enumerate((key, at, len(lines) == 1, near, b" ".join(tokens).decode())):
+                            out[k].append(v)
+            if wanted is None:
+                yield pa.RecordBatch.from_arrays([pa.array(out[5], pa.int64())], names=["leaf"])
+            else:
+                kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds)], names=_LINE)
+    return run
+
+
+def crowded_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 5, depth: int = DEPTH,
+) -> DataFrame:
+    """(key, line_no, alone, surround, masked, leaf) of every line in a leaf of ``least`` lines or more.
 
-    ``surround`` is a hash of the lines before and after it, ``alone`` says that there
-    are none. Null and empty texts have no lines.
+    ``masked`` are the line's tokens by one space, with fields for those that have a
+    digit; ``surround`` is a hash of the lines before and after it, ``alone`` says that
+    there are none. The leaves are counted first, so that only lines that matter travel.
     """
-    rows = docs.where(F.length(text_col) > 0).select(_key(id_col, text_col).alias("key"), F.split(text_col, "\n").alias("lines"))
-    spot = F.posexplode(F.expr(
-        "transform(lines, (x, i) -> struct(x as line, xxhash64(if(i > 0, lines[i - 1], null), "
-        "if(i + 1 < size(lines), lines[i + 1], null), i > 0, i + 1 < size(lines)) as surround, "
-        "size(lines) = 1 as alone))")).alias("line_no", "at")
-    lines = rows.select("key", spot).select("key", "line_no", "at.alone", "at.surround", _masked(F.col("at.line")).alias("masked"))
-    spaces = F.length("masked") - F.length(F.translate("masked", " ", ""))
-    return lines.where("masked <> ''").withColumn("leaf", F.xxhash64(spaces, F.substring_index("masked", " ", depth)))
+    rows = docs.where(F.length(text_col) > 0).select(_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    leaves = rows.mapInArrow(_tree_lines(depth), "leaf bigint").groupBy("leaf").agg(F.count("*").alias("n"))
+    big = written(leaves.where(F.col("n") >= least).select("leaf"), "leaves")
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(big, "leaf"))
+    schema = "key bigint, line_no int, alone boolean, surround bigint, masked string, leaf bigint"
+    return written(rows.mapInArrow(_tree_lines(depth, wanted), schema).join(big, "leaf", "left_semi"), "lines")
 
 
 def recurring_lines(
@@ -56,10 +96,8 @@ def recurring_lines(
     copied as wholes, which recur with their neighbours, are left to document dedup. A
     line without neighbours, which is a whole document, is never dropped.
     """
-    lines = tree_lines(docs, id_col, text_col, depth)
-    big = lines.groupBy("leaf").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs).select("leaf")
-    crowded = lines.join(big, "leaf")
-    kinds = crowded.groupBy("leaf", "masked").agg(F.count("*").alias("n"))
+    crowded = crowded_lines(docs, id_col, text_col, min_docs, depth)
+    kinds = written(crowded.groupBy("leaf", "masked").agg(F.count("*").alias("n")), "kinds")
     tokens = kinds.select("leaf", "n", F.posexplode(F.split("masked", " ")).alias("pos", "token"))
     total = tokens.groupBy("leaf", "pos").agg(F.sum("n").alias("all"))
     held = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("n")).join(total, ["leaf", "pos"])
@@ -71,7 +109,7 @@ def recurring_lines(
     parts = parts.withColumn("shown", shown)
     kept = F.expr(f"size(filter(shown, t -> t <> '{FIELD}'))") >= F.lit(alike) * F.size("tokens")
     named = parts.select("leaf", "masked", F.when(kept, F.array_join("shown", " ")).otherwise(F.col("masked")).alias("template"))
-    placed = crowded.join(named, ["leaf", "masked"])
+    placed = written(crowded.join(named, ["leaf", "masked"]).drop("masked"), "placed")
     each = placed.groupBy("leaf", "template", "surround").agg(F.count("*").alias("n"))
     counted = each.groupBy("leaf", "template").agg(F.sum("n").alias("n_lines"), F.count("*").alias("n_surrounds"))
     often = counted.where((F.col("n_surrounds") >= min_docs) & (2 * F.col("n_surrounds") >= F.col("n_lines")))

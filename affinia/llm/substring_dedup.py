@@ -25,11 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm.hashing import STEP, _tables, mix
-from affinia.llm.tables import blocks, utf8, written
+from affinia.llm.tables import bit_filter, blocks, has_bit, utf8, written
 
 LENGTH, LEAD = 200, 24
-#: Bits of the two filters of repeated anchors; a fixed size, whatever the input.
-BITS = 1 << 26
 #: Anchors of more suffixes than this and than one in 2,000 of all are split; so at most 2,000 are.
 CROWD, SHARE = 8192, 2000
 _SPAN_BITS = np.uint64(24)
@@ -116,22 +114,6 @@ def _count(length: int):
     return run
 
 
-def _filter(rows: DataFrame) -> np.ndarray:
-    """One bit per anchor, by its lowest bits; 2,048 rows of 4 KB reach the driver at most."""
-    spot = F.pmod("anchor", F.lit(BITS)) + 1
-    bits = np.zeros(BITS // 8, np.uint8)
-    parts = rows.groupBy(F.bitmap_bucket_number(spot).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("m"))
-    for r in parts.collect():
-        own = np.frombuffer(bytes(r["m"]), np.uint8)
-        bits[(r["b"] - 1) * 4096:(r["b"] - 1) * 4096 + len(own)] = own
-    return bits
-
-
-def _has(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    spot = (anchor % np.uint64(BITS)).astype(np.int64)
-    return (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
-
-
 _FOUND = "bucket bigint, anchor bigint, stretch bigint, key bigint, start bigint, size bigint, bytes binary"
 
 
@@ -146,7 +128,7 @@ def _emit(length: int, filters, split: dict[int, int], frequent: list[int]):
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             for i, shift, piece, own in _parts(data, offsets, length):
                 text, start, size, anchor, stretch = stretches(piece, own, length)
-                keep = _has(repeated, anchor)
+                keep = has_bit(repeated, anchor)
                 text, start, size, anchor, stretch = (x[keep] for x in (text, start, size, anchor, stretch))
                 bucket, signed = anchor.copy(), anchor.view(np.int64)
                 if len(names):
@@ -154,7 +136,7 @@ def _emit(length: int, filters, split: dict[int, int], frequent: list[int]):
                     hot = names[spot] == signed
                     bucket[hot] = mix(anchor[hot] * STEP + stretch[hot] % ways[spot[hot]])
                 at, raw = own[:-1][text] + start, piece.tobytes()
-                needed, sure = _has(various, anchor), np.isin(stretch.view(np.int64), common)
+                needed, sure = has_bit(various, anchor), np.isin(stretch.view(np.int64), common)
                 for k in np.flatnonzero(sure).tolist():
                     name = int(stretch[k].view(np.int64))
                     told[name] += 1
@@ -287,7 +269,7 @@ def repeated_ranges(source: DataFrame, length: int = LENGTH, crowd: int = CROWD)
     # At most SHARE rows, whatever the input: each has more than one in SHARE of all.
     split = {r["anchor"]: -(-r["n"] // least) for r in repeated.where((F.col("n") > least) & F.col("various")).collect()}
     frequent = [r["often"] for r in repeated.where(F.col("most") > least).select("often").collect()]
-    filters = session.sparkContext.broadcast((_filter(repeated), _filter(repeated.where("various"))))
+    filters = session.sparkContext.broadcast((bit_filter(repeated, "anchor"), bit_filter(repeated.where("various"), "anchor")))
     found = source.mapInArrow(_emit(length, filters, split, frequent), _FOUND)
     found = found.repartition("bucket").sortWithinPartitions("bucket", "stretch")
     ranges = found.mapInArrow(_sorted_buckets(length, split), "key bigint, start bigint, end bigint, window bigint")

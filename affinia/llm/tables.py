@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from affinia.session import scratch_path
 
@@ -22,6 +23,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a filter of 64-bit hashes; a fixed size, whatever the input.
+FILTER_BITS = 1 << 26
+
+
+def bit_filter(rows: DataFrame, column: str) -> np.ndarray:
+    """One bit per hash, by its lowest bits; at most 2,048 rows of 4 KB reach the driver.
+
+    What it lets through by chance has to be told apart by a join afterwards.
+    """
+    spot = F.pmod(column, F.lit(FILTER_BITS)) + 1
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    parts = rows.groupBy(F.bitmap_bucket_number(spot).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("m"))
+    for r in parts.collect():
+        own = np.frombuffer(bytes(r["m"]), np.uint8)
+        bits[(r["b"] - 1) * 4096:(r["b"] - 1) * 4096 + len(own)] = own
+    return bits
+
+
+def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    spot = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the n + 1 offsets of its texts; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

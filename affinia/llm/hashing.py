@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -14,8 +16,6 @@ SPACES[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
-_powers: dict[str, np.ndarray] = {}
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
@@ -27,14 +27,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@lru_cache(maxsize=4)
+def _row(base: int, size: int) -> np.ndarray:
+    row = np.full(size, np.uint64(base), dtype=np.uint64)
+    row[0] = 1
+    return np.cumprod(row, dtype=np.uint64)
+
+
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers["up"]) < n:
-        size = max(n, (1 << 20) + 4096)
-        for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            row = np.full(size, base, dtype=np.uint64)
-            row[0] = 1
-            _powers[name] = np.cumprod(row, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
+    """Powers of the base and of its inverse; kept by the process, and never sent with a task."""
+    size = max(1 << n.bit_length(), 1 << 21)
+    return _row(int(_BASE), size), _row(int(_BASE_INVERSE), size)
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -11,7 +11,6 @@ from affinia.operators.sizes import broadcast_if_small
 
 MIN_TOKEN_FREQUENCY = 20
 MIN_TITLE_FREQUENCY = 5
-DICTIONARY_CAP = 500_000
 
 
 def term_stats(docs: DataFrame, column: str | Column = "tokens") -> DataFrame:
@@ -42,20 +41,20 @@ def min_frequency(stats: DataFrame, least: int) -> DataFrame:
     return stats.where(F.col("frequency") >= least)
 
 
-def index_stats(stats: DataFrame, cap: int = DICTIONARY_CAP) -> DataFrame:
-    """Dense 0-based index by descending frequency, then term; cut at ``cap``."""
+def index_stats(stats: DataFrame, cap: int | None = None) -> DataFrame:
+    """Dense 0-based index by descending frequency, then term; cut at ``cap`` if one is given."""
     indexed = dense_index(stats, F.desc("frequency"), F.asc("token"))
-    return indexed.where(F.col("index") < cap)
+    return indexed if cap is None else indexed.where(F.col("index") < cap)
 
 
 def token_dictionary(
-    docs: DataFrame, min_freq: int = MIN_TOKEN_FREQUENCY, cap: int = DICTIONARY_CAP, column: str = "tokens"
+    docs: DataFrame, min_freq: int = MIN_TOKEN_FREQUENCY, cap: int | None = None, column: str = "tokens"
 ) -> DataFrame:
     return index_stats(min_frequency(term_stats(docs, column), min_freq), cap)
 
 
 def title_dictionary(
-    docs: DataFrame, min_freq: int = MIN_TITLE_FREQUENCY, cap: int = DICTIONARY_CAP
+    docs: DataFrame, min_freq: int = MIN_TITLE_FREQUENCY, cap: int | None = None
 ) -> DataFrame:
     return index_stats(min_frequency(title_stats(docs), min_freq), cap)
 

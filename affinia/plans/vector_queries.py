@@ -292,7 +292,7 @@ def questions(spark, sf) -> DataFrame:
 
 @query("RET-02_sentence_knn", with_sql("dict vecs", QTOK_SQL + (
     ", qp AS (SELECT query, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS pos FROM qt), nv AS (SELECT count(*) AS c FROM vecs), "
-    "qc AS (SELECT query, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS p FROM qp JOIN dict USING (token) JOIN vecs ON vecs.id = idx % (SELECT c FROM nv) WHERE pos < 64), "
+    "qc AS (SELECT query, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS p FROM qp JOIN dict USING (token) JOIN vecs ON vecs.id = idx % (SELECT c FROM nv)), "
     "qv AS (SELECT query, list(m ORDER BY p) AS v FROM (SELECT query, p, avg(x) AS m FROM qc GROUP BY 1, 2) GROUP BY 1), "
     "x AS (SELECT query, id AS item, list_dot_product(v, vec) AS s FROM qv CROSS JOIN vecs)")) + TOP_SQL + "5")
 def _(spark, sf):
@@ -600,7 +600,7 @@ def _(spark, sf):
 
 @query("SMP-05_batches")
 def _(spark, sf):
-    return SA.batches(scene_pairs(spark, sf), 64, "scene", "product", drop_last=True)
+    return SA.batches(scene_pairs(spark, sf), 64, "scene", "product")
 
 
 @query("SMP-05_batch_sizes", with_sql("views", PAIRS_SQL + ", t AS (SELECT count(*) AS n FROM sp)") + (

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -27,7 +25,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
+class Kept(dict):
+    """What a process keeps for itself: it is sent with tasks empty."""
+
+    def __reduce__(self):
+        return Kept, ()
+
+
+_kept = Kept()
+
+
 def _row(base: int, size: int) -> np.ndarray:
     row = np.full(size, np.uint64(base), dtype=np.uint64)
     row[0] = 1
@@ -35,9 +42,11 @@ def _row(base: int, size: int) -> np.ndarray:
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; kept by the process, and never sent with a task."""
+    """Powers of the base and of its inverse."""
     size = max(1 << n.bit_length(), 1 << 21)
-    return _row(int(_BASE), size), _row(int(_BASE_INVERSE), size)
+    if size not in _kept:
+        _kept[size] = _row(int(_BASE), size), _row(int(_BASE_INVERSE), size)
+    return _kept[size]
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -13,7 +13,6 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from affinia.llm.hashing import Kept
 from affinia.llm.tables import written
 
 LIMIT = 2048
@@ -47,11 +47,12 @@ class _Chunks(dict):
 
     def __init__(self, path: str):
         super().__init__()
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.fast = _ranks(path)
+        if self.fast is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(path)
+            self.whole.encode_special_tokens = True
 
     def encode(self, text: str) -> bytes:
         ids = self.fast.encode_ordinary(text) if self.fast else self.whole.encode(text, add_special_tokens=False).ids
@@ -85,9 +86,13 @@ def _ranks(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@lru_cache(maxsize=2)
+_kept = Kept()
+
+
 def _chunks(path: str) -> _Chunks:
-    return _Chunks(path)
+    if path not in _kept:
+        _kept[path] = _Chunks(path)
+    return _kept[path]
 
 
 def token_bytes(text: str, memo: _Chunks) -> bytes:

@@ -9,17 +9,16 @@ smallest hashes stay, which merges in the same way.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from affinia.llm.hashing import STEP, mix
-from affinia.llm.tables import written
 
 #: Bytes of a shingle, the kept fraction of all 32-bit hashes, and the least kept.
 SHINGLE, FRACTION, FLOOR = 16, 1 / 32, 16
@@ -88,49 +87,50 @@ def from_text(fingerprint: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
 
 
-def _row(doc_id, text: str, following: str) -> tuple:
-    n = len(text)
-    size = n // 4
-    edited = (text[:n - size] + following[:size]).encode()
-    own, other, after = sketch(text.encode()), sketch(edited), sketch(following.encode())
-    return (doc_id, n, hashlib.sha256(edited).hexdigest(), to_text(own), to_text(other), likeness(own, other),
-            likeness(own, after))
-
-
 _NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 _SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
            "near_edited double, near_next double")
 _TYPES = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
 
 
-def _batch(rows: list[tuple], *more: pa.Array) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * len(_NAMES)
-    arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES)] + list(more)
-    return pa.RecordBatch.from_arrays(arrays, names=_NAMES + ["part", "end", "text"][:len(more)])
+def _row(doc_id, text: str, own: np.ndarray, following: str, after: np.ndarray) -> tuple:
+    n = len(text)
+    size = n // 4
+    edited = (text[:n - size] + following[:size]).encode()
+    other = sketch(edited)
+    return (doc_id, n, hashlib.sha256(edited).hexdigest(), to_text(own), to_text(other), likeness(own, other),
+            likeness(own, after))
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one range of ids in order. The last one waits for the next range's first text."""
-    part, held, first = TaskContext.get().partitionId(), None, None
+    """Rows of ranges in order, each range ended by the text that follows its last row."""
+    held = None
     for batch in batches:
         out = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text.as_py() or ""
-            if held is None:
-                first = (doc_id, text)
-            else:
-                out.append(_row(*held, text))
-            held = (doc_id, text)
-        none = pa.nulls(len(out), pa.string())
-        yield _batch(out, pa.array([part] * len(out), pa.int64()), none, none)
-    if held is not None:
-        waiting = [(d, None, None, None, None, None, None) for d, _ in (first, held)]
-        yield _batch(waiting, pa.array([part] * 2, pa.int64()), pa.array(["first", "last"]), pa.array([first[1], held[1]]))
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield _batch([_row(d, t or "", f or "") for d, t, f in zip(*[batch.column(k).to_pylist() for k in range(3)])])
+        for doc_id, text, end in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            text = text.as_py()
+            own = sketch(text.encode())
+            if held is not None:
+                out.append(_row(*held, text, own))
+            held = None if end else (doc_id, text, own)
+        columns = list(zip(*out)) if out else [[]] * len(_NAMES)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES)], names=_NAMES)
+
+
+def _ranged(rows: DataFrame, parts: int) -> DataFrame:
+    """The rows with ``range``, whose order is that of the rows: by id, without an id by hash.
+
+    The splitters are quantiles of the ids, at most ``parts`` numbers, and are looked up by
+    binary search. Ids that are one number as a double share a range.
+    """
+    named = rows.where("doc_id is not null").select(F.col("doc_id").cast("double").alias("d"))
+    cuts = named.approxQuantile("d", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
+    splits = [-math.inf, *sorted({*cuts} or {0.0}), math.inf]
+    seek = Bucketizer(splits=splits, inputCol="_d", outputCol="_spot")
+    spots = seek.transform(rows.withColumn("_d", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
+    by_hash = F.least(F.floor((F.col("hash") / 2.0**64 + 0.5) * parts), F.lit(parts - 1))
+    spot = F.when(F.col("doc_id").isNull(), by_hash).otherwise(F.col("_spot") + parts)
+    return spots.withColumn("range", spot.cast("int")).drop("_d", "_spot")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,22 +141,32 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first one following the last. ``near_edited`` compares its fingerprint with the
     edited text's, ``near_next`` with the next document's.
 
-    Texts travel once, to ranges of ids; only the first and last text of each range meet
-    their neighbours afterwards. Null texts count as empty, with empty fingerprints; two
-    empty texts have likeness 1, an empty and another one 0. Rows without an id come
-    first, rows of equal ids in the order of their texts. A single document follows
-    itself. Other columns are ignored; an empty table gives no rows.
+    Texts travel once, to ranges of ids cut at fixed splitters. The first text of each
+    range, known by its id alone, is sent to the end of the range before it, so that
+    nothing has to be written in between; of the ids themselves only the splitters and
+    each range's first one reach the driver.
+
+    Null texts count as empty, with empty fingerprints; two empty texts have likeness 1,
+    an empty and another one 0. Rows without an id come first, in the order of a hash of
+    their texts; rows of equal ids follow each other in the order of their texts. A single
+    document follows itself. Other columns are ignored; an empty table gives no rows.
     """
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    parts = max(source.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = source.repartitionByRange(parts, F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
-    ordered = ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
-    rows = written(ordered.mapInArrow(_in_order, _SCHEMA + ", part bigint, end string, text string"), "fingerprints")
-    # Two rows per range of ids.
-    firsts = rows.where("end = 'first'").select("part", F.col("text").alias("head"))
-    lasts = rows.where("end = 'last'").select("part", "doc_id", F.col("text").alias("tail"))
-    order = rows.where("end = 'first'").select("part")
-    after = order.withColumn("next", F.lead("part").over(W.orderBy("part")))
-    after = after.withColumn("next", F.coalesce("next", F.min("part").over(W.partitionBy())))
-    ends = lasts.join(after, "part").join(firsts.withColumnRenamed("part", "next"), "next").select("doc_id", "tail", "head")
-    return rows.where("end is null").select(*_NAMES).unionByName(ends.mapInArrow(_pairs, _SCHEMA))
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("hash", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    parts = max(rows.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = _ranged(rows, parts)
+    # At most two rows per partition: the lowest id, or hash, of each range that has any.
+    lowest = sorted(
+        rows.where("doc_id is not null").groupBy("range").agg(F.min("doc_id").alias("low")).collect()
+        + rows.where("doc_id is null").groupBy("range").agg(F.min("hash").alias("low")).collect())
+    before = [(r["range"], r["low"], lowest[k - 1]["range"]) for k, r in enumerate(lowest)]
+    first = F.broadcast(spark.createDataFrame(before, "range int, low bigint, before int"))
+    heads = rows.join(first, "range").where(F.coalesce("doc_id", "hash") == F.col("low"))
+    heads = heads.groupBy("before").agg(F.min("text").alias("text")).select(
+        F.lit(None).cast("bigint").alias("doc_id"), "text", F.lit(None).cast("bigint").alias("hash"),
+        F.col("before").alias("range"), F.lit(True).alias("end"))
+    dealt = rows.withColumn("end", F.lit(False)).unionByName(heads)
+    dealt = dealt.repartitionById(parts, F.pmod("range", F.lit(parts)))
+    ordered = dealt.sortWithinPartitions("range", "end", F.asc_nulls_first("doc_id"), "hash", "text")
+    return ordered.select("doc_id", "text", "end").mapInArrow(_in_order, _SCHEMA)

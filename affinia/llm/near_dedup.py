@@ -27,6 +27,8 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 #: Registers run from 0 to LEVELS; they cover minima from 20 down to 2 ** -32.
 LEVELS = int(math.log(2**32, BASE)) + int(math.log(20, BASE)) + 2
+#: Words of 64 bits of an odd sketch, which bounds the difference of two sets from below.
+ODD = 16
 #: Estimates this far below the threshold are six standard deviations away.
 MARGIN = 0.2
 
@@ -91,6 +93,16 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarr
     return j[np.arange(len(j)), score.argmax(axis=1)]
 
 
+def odd_sketch(items: np.ndarray) -> np.ndarray:
+    """One bit per residue of the hashes, set if an odd number of items has it.
+
+    Items in both of two sets cancel out, so two sketches differ in at most as many bits
+    as the sets differ in items: a pair whose sketches differ too much is no link.
+    """
+    odd = np.bincount((items % np.uint64(64 * ODD)).astype(np.int64), minlength=64 * ODD) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def set_key(items: np.ndarray) -> int:
     """A key of a whole set; equal sets have equal keys, the empty set has 0."""
     if len(items) == 0:
@@ -130,7 +142,8 @@ def _full_sets(size: int):
                     pa.array([set_key(s) for s in sets], pa.int64()),
                     pa.array([k.tobytes() for k in sketch], pa.binary()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
-                ], names=["node", "sketch", "items"])
+                    pa.array([odd_sketch(s) for s in sets], pa.list_(pa.int64())),
+                ], names=["node", "sketch", "items", "odd"])
     return run
 
 
@@ -167,14 +180,18 @@ def _confirm(percent: int):
     return run
 
 
-def _candidates(open_keys: DataFrame, members: DataFrame, sample: int | None, percent: int) -> DataFrame:
+def _candidates(open_keys: DataFrame, members: DataFrame, sets: DataFrame, sample: int | None, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes of one band key that are not known to be linked yet.
 
     Nodes outside the key's largest component ask the ``sample`` nodes of the key whose
     hash is smallest (None: all nodes). The hash is of the node alone, so that the many
-    keys of one group of copies choose the same few nodes.
+    keys of one group of copies choose the same few nodes. From the second round on, a
+    pair whose odd sketches already differ in more bits than a link's sets may differ in
+    items is left out by the join itself.
     """
     rows = members.join(open_keys, "key")
+    if sample != 1:
+        rows = rows.join(sets.select("node", "odd"), "node")
     asking = rows.where("component <> largest")
     if sample == 1:
         asked = open_keys.select("key", F.col("hub.node").alias("node2"), F.col("hub.component").alias("component2"),
@@ -183,15 +200,32 @@ def _candidates(open_keys: DataFrame, members: DataFrame, sample: int | None, pe
         chosen = rows if sample is None else rows.where(
             F.xxhash64("node") / F.lit(2.0**64) + 0.5 <= F.lit(float(sample)) / F.col("n_nodes"))
         asked = chosen.select("key", F.col("node").alias("node2"), F.col("component").alias("component2"),
-                              F.col("n_items").alias("n2"), F.col("n_shared").alias("s2"))
+                              F.col("n_items").alias("n2"), F.col("n_shared").alias("s2"), F.col("odd").alias("odd2"))
     # An intersection is at most the smaller set, and at most what either set shares with any other.
-    pairs = asking.select("key", "node", "component", "n_items", "n_shared").join(asked, "key").where(
+    possible = (
         (F.col("component") != F.col("component2"))
         & (F.lit(100) * F.least("n_items", "n2") >= F.lit(percent) * F.greatest("n_items", "n2"))
         & (F.lit(100 + percent) * F.least("n_shared", "s2") >= F.lit(percent) * (F.col("n_items") + F.col("n2"))))
+    if sample != 1:
+        differ = sum((F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("odd2")[k])) for k in range(ODD)), F.lit(0))
+        possible &= F.lit(100 + percent) * differ <= F.lit(100 - percent) * (F.col("n_items") + F.col("n2"))
+    pairs = asking.drop("largest", "n_nodes", "hub").join(asked, "key").where(possible)
     return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
 
+def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after further links, found between the components there are."""
+    if labels is None:
+        return graph.components(links, "a", "b")
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), "component")
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    merged = written(graph.components(links, "a", "b"), "merged")
+    into = merged.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    kept = labels.join(into, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return kept.unionByName(merged.join(labels.select("node"), "node", "left_anti"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
 ) -> DataFrame:
@@ -226,7 +260,7 @@ def near_duplicates(
         F.min("doc_id").alias("doc_id"))
     chosen = named.join(nodes, "node", "left_semi").select("doc_id")
     texts = source.join(chosen, "doc_id", "left_semi").select("text")
-    sets = written(texts.mapInArrow(_full_sets(shingle), "node bigint, sketch binary, items binary").join(
+    sets = written(texts.mapInArrow(_full_sets(shingle), "node bigint, sketch binary, items binary, odd array<bigint>").join(
         nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
     # Shingles of one candidate alone are in no intersection: what is left bounds them all.
     single = sets.select("node", "items").mapInArrow(_items, "node bigint, item bigint").groupBy("item").agg(
@@ -234,7 +268,7 @@ def near_duplicates(
     lone = single.groupBy("node").agg(F.count("*").alias("lone"))
     members = members.join(lone, "node", "left").withColumn("n_shared", F.col("n_items") - F.coalesce("lone", F.lit(0)))
     members = written(members.where(F.lit(100) * F.col("n_shared") >= F.lit(percent) * F.col("n_items")).drop("lone"), "members")
-    links = tried = None
+    labels = tried = None
     labelled = members.withColumn("component", F.col("node"))
     for sample in (1, 8, 128, None):
         sizes = labelled.groupBy("key", "component").agg(
@@ -245,7 +279,7 @@ def near_duplicates(
         open_keys = keys.where("_parts > 1").select(
             "key", F.when(F.lit(sample == 1), F.col("hub.component")).otherwise(F.col("_top.component")).alias("largest"),
             "n_nodes", "hub")
-        pairs = _candidates(open_keys, labelled, sample, percent)
+        pairs = _candidates(open_keys, labelled, sets, sample, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -255,11 +289,12 @@ def near_duplicates(
         two = sets.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"), F.col("items").alias("items_b"))
         found = pairs.join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b", "items_a", "items_b")
         found = written(found.mapInArrow(_confirm(percent), "a bigint, b bigint"), "confirmed")
-        links = found if links is None else links.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        labels = written(graph.components(links, "a", "b"), "labels")
+        if found.isEmpty():
+            continue
+        labels = written(_relabelled(labels, found), "labels")
         labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    if links is None:
+    if labels is None:
         roots = named.select("node", F.col("doc_id").alias("component_id"))
     else:
         groups = named.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -145,8 +145,8 @@ def pair_sums(
     """(left, right, n, sxy, sxx, syy) for every pair left < right sharing a feature.
 
     ``n`` counts shared features, ``sxy`` sums x_left * x_right over them, ``sxx`` and
-    ``syy`` the squares. Rows must be unique per (entity, feature). With ``fresh`` (a
-    flag) only the shared features where one side is fresh are added, which is what an
+    ``syy`` the squares. Repeated rows of an (entity, feature) count once, with the sum of
+    their values and fresh if any of them is. With ``fresh`` (a flag) only the shared features where one side is fresh are added, which is what an
     incremental update needs.
     """
     x = F.lit(1.0) if value is None else (F.col(value) if isinstance(value, str) else value)
@@ -155,8 +155,11 @@ def pair_sums(
         F.col(entity).alias("entity"), F.col(feature).alias("feature"), x.cast("double").alias("x"),
         (fresh if only_fresh else F.lit(True)).alias("fresh"),
     )
+    # Before either path, so that the size of a group never changes what repeats mean.
+    once = F.max("x") if value is None else F.sum("x")
+    rows = rows.groupBy("feature", "entity").agg(once.alias("x"), F.max("fresh").alias("fresh"))
     # Read several times below; what led to the rows is worked out once.
-    rows = cut_lineage(rows)
+    rows = cut_lineage(rows.select("entity", "feature", "x", "fresh"))
     large = rows.groupBy("feature").agg(F.count("*").alias("_n")).where(F.col("_n") > group_limit)
     any_large = not large.select("feature").isEmpty()
     small = rows.join(large, "feature", "left_anti") if any_large else rows
@@ -207,10 +210,10 @@ def shared_counts(
     """(left_key, right_key, shared): features that a left and a right entity have in common.
 
     Features carried by at most ``group_limit`` right entities are joined; the rest, such
-    as a word of every document, go through block products. Rows must be unique.
+    as a word of every document, go through block products. Repeated rows count once.
     """
-    a = left.select(F.col(left_key).alias("_le"), F.col(feature).alias("feature"))
-    b = right.select(F.col(right_key).alias("_re"), F.col(feature).alias("feature"))
+    a = left.select(F.col(left_key).alias("_le"), F.col(feature).alias("feature")).distinct()
+    b = right.select(F.col(right_key).alias("_re"), F.col(feature).alias("feature")).distinct()
     a = cut_lineage(a)
     b = cut_lineage(b.join(a.select("feature").distinct(), "feature", "left_semi"))
     large = b.groupBy("feature").agg(F.count("*").alias("_n")).where(F.col("_n") > group_limit)

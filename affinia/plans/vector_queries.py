@@ -271,10 +271,10 @@ def _(spark, sf):
 
 @query("REC-06_fitted_embeddings")
 def _(spark, sf):
-    """The form for vocabularies too large for one machine."""
+    """The same fit with shorter vectors."""
     pieces = V.playlists(spark, sf).withColumn("piece", F.floor(F.col("pos") / 1000))
     rows = pieces.groupBy("pl", "piece").agg(F.array_sort(F.collect_list(F.struct("pos", "track_idx"))).alias("_t"))
-    return M.item_embeddings(rows.select(F.col("_t.track_idx").alias("items")), "items", dim=4, most_bytes=0)
+    return M.item_embeddings(rows.select(F.col("_t.track_idx").alias("items")), "items", dim=4)
 
 
 # ---- text queries ------------------------------------------------------------------------
@@ -541,7 +541,7 @@ def loss_rows(spark, sf) -> DataFrame:
     context = rows.where(F.col("chunk") == 0).select("pl", "context_vecs", "album_context", "artist_context")
     vectors = tracks.select("track_idx", "album_idx", "artist_idx", "vec")
     # Negatives go with the first row of a playlist; further rows only have more next tracks.
-    nexts = rows.where(F.col("chunk") == 0).select("pl", F.explode("next_track").alias("track_idx")).join(vectors, "track_idx")
+    nexts = rows.select("pl", F.explode("next_track").alias("track_idx")).join(vectors, "track_idx")
     drawn = SA.uniform_negatives(context, vectors, 16)
     out = context.select("pl", "context_vecs")
     for name, found in (("pos", nexts), ("neg", drawn)):

@@ -59,6 +59,16 @@ def test_pair_sums(spark, limit, block, text):
         assert all(math.isclose(got[key][c], v, abs_tol=1e-9) for c, v in zip(P.SUMS, sums))
 
 
+@pytest.mark.parametrize("limit", [512, 1])
+def test_repeated_rows_mean_the_same_at_every_group_size(spark, limit):
+    df = spark.createDataFrame([(1, 7, 2.0), (1, 7, 3.0), (2, 7, 4.0)], "e bigint, f bigint, x double")
+    rows = P.pair_sums(df, "e", "f", "x", group_limit=limit, block=2).collect()
+    assert [tuple(r[c] for c in ("left", "right", *P.SUMS)) for r in rows] == [(1, 2, 1.0, 20.0, 25.0, 16.0)]
+    other = df.select(F.col("e").alias("d"), "f")
+    shared = P.shared_counts(df, other, "e", "d", "f", group_limit=limit, block=2).collect()
+    assert sorted(tuple(r) for r in shared) == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (2, 2, 1)]
+
+
 @pytest.mark.parametrize("limit", [512, 5])
 def test_fresh_pairs_only(spark, limit):
     data = skewed(2)

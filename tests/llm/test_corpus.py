@@ -126,6 +126,30 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprints(frame(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_fingerprints_follow_across_ranges(spark, parts):
+    """Rows without an id come first in a fixed order, repeated ids by text, and the last one meets the first."""
+    docs = [(None, f"none {i} " * 5) for i in range(6)] + [(i // 2 * 10**15, f"text {i} " * 8) for i in range(30)]
+    got = fingerprints.fingerprints(frame(spark, docs).repartition(parts)).collect()
+    assert len(got) == len(docs)
+    named = sorted((d for d in docs if d[0] is not None))
+    want = {(text, after) for (_, text), (_, after) in zip(named, named[1:])}
+    sha = lambda text, after: hashlib.sha256((text[:len(text) - len(text) // 4] + after[:len(text) // 4]).encode()).hexdigest()
+    found = {r["edited_sha256"] for r in got}
+    assert {sha(*w) for w in want} <= found
+    first = [t for i, t in docs if i is None]
+    assert any(sha(named[-1][1], t) in found for t in first) and any(sha(t, named[0][1]) in found for t in first)
+
+
+def test_odd_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        items = rng.integers(0, 2**63, int(rng.integers(1, 3000))).astype(np.uint64)
+        a, b = np.unique(items[rng.random(len(items)) < 0.9]), np.unique(items[rng.random(len(items)) < 0.9])
+        differ = sum(int(x).bit_count() for x in (near_dedup.odd_sketch(a) ^ near_dedup.odd_sketch(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_toxicity(spark):
     rng = random.Random(1)
     plain = ["tree", "house", "river", "walk", "stone", "green", "light", "paper"]

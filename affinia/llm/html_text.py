@@ -1,13 +1,14 @@
 """Main text of web pages by consensus paths of their hosts.
 
 Every page's containers are scored by the plain text below them, and each page votes for
-the deepest one that still covers nearly all of it, under a path of generalised tag and
-class names. Spark sums the votes per host; each page is then read again below the path
-of most votes that it has.
+the smallest one that holds its whole article, under a path of generalised tag and class
+names. Spark sums the votes per host; each page is then read again below the path of most
+votes that holds the page's own article.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -42,6 +43,8 @@ ASIDE_WORDS = {
     "tagcloud", "toolbar", "topbar", "widget", "widgets"}
 CONTAINERS = {"body", "div", "article", "section", "main", "table", "tbody", "tr", "td", "center", "ul", "ol", "dl", "figure",
               "details", "form", "nav", "aside", "footer", "header", "blockquote"}
+#: Elements that mark the article.
+ARTICLE = {"article", "main"}
 BLOCKS = CONTAINERS | {
     "p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "dd", "dt", "figcaption", "address", "th", "thead", "tfoot",
     "caption", "summary", "hgroup", "fieldset", "legend", "option", "select", "button", "html", "head", "menu", "dialog"}
@@ -153,7 +156,12 @@ def page_blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
 
 
 def best_path(blocks: list[tuple[tuple[str, ...], str, int, bool]], share: float = 0.8) -> str | None:
-    """The deepest container path that covers at least ``share`` of the page's plain text."""
+    """The path of the smallest container that holds all blocks of the article.
+
+    If the deepest container of at least ``share`` of the plain text is an article or main
+    element or lies in one, the article is what lies in such elements; else it is all
+    plain text of the page. What stands beside the article never counts.
+    """
     covered: dict[tuple[str, ...], float] = defaultdict(float)
     total = 0.0
     for path, text, linked, aside in blocks:
@@ -166,7 +174,14 @@ def best_path(blocks: list[tuple[tuple[str, ...], str, int, bool]], share: float
     if not total:
         return None
     good = [p for p, w in covered.items() if w >= share * total]
-    return "/".join(max(good, key=lambda p: (len(p), covered[p], p)))
+    marked = _in_article(max(good, key=lambda p: (len(p), covered[p], p)))
+    held = [path for path, text, linked, aside in blocks
+            if not aside and (_in_article(path) if marked else len(text) > 2 * linked)]
+    return "/".join(os.path.commonprefix(held))
+
+
+def _in_article(path: tuple[str, ...]) -> bool:
+    return any(name.split(".")[0] in ARTICLE for name in path)
 
 
 def read_below(blocks: list[tuple[tuple[str, ...], str, int, bool]], path: str) -> str:
@@ -196,10 +211,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for html, ranked in zip(batch.column(2), batch.column(3).to_pylist()):
             blocks = page_blocks(html.as_py() or "")
-            own = {"/".join(b[0][:d]) for b in blocks if not b[3] for d in range(len(b[0]) + 1)}
-            path = next((p for p in ranked or () if p in own), None)
-            if path is None:
-                path = best_path(blocks)
+            path = best_path(blocks)
+            if path is None:  # linked text only
+                own = {"/".join(b[0][:d]) for b in blocks if not b[3] for d in range(len(b[0]) + 1)}
+                path = next((p for p in ranked or () if p in own), None)
+            else:
+                path = next((p for p in ranked or () if not p or f"{path}/".startswith(f"{p}/")), path)
             texts.append("" if path is None else read_below(blocks, path))
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -215,7 +232,8 @@ def main_texts(
     The text is that of the blocks below the consensus path of the page's host, in page
     order, without menus, headers, footers, sidebars, notices, adverts, forms, scripts,
     styles and comments; references are decoded, white space becomes one space. A host's
-    ``paths`` best voted paths are kept; a page that has none of them uses its own best.
+    ``paths`` best voted paths are kept; a page whose article lies whole below none of
+    them uses its own best.
 
     Null and empty pages and pages without text give an empty text. Rows without url
     share the empty host; rows without an id and repeated rows are read one by one (a

@@ -191,6 +191,25 @@ def test_html(spark):
         assert html_text.read_below(blocks, html_text.best_path(blocks)) == " ".join(unescape(re.sub(r"<[^>]*>", " ", inner)).split())
 
 
+def test_html_keeps_the_whole_article(spark):
+    long = "The body of the text goes on for long. " * 20
+    body = f"<div class=content><p>{long}</p></div>"
+    nav = "<nav><a href=/>Home</a></nav>"
+    whole = f"<html><body>{nav}<article><h1>Title</h1><p>A lead.</p>{body}<p>An end.</p></article><p>Stray.</p></body></html>"
+    linked = f"<html><body>{nav}<article><h1><a href=/t>Title</a></h1>{body}</article></body></html>"
+    short = f"<html><body>{nav}<article>{body}</article></body></html>"
+    parts = f"<html><body>{nav}<div class=a><p>{long}</p></div><div class=b><p>The rest of it.</p></div></body></html>"
+    table = f"<html><body>{nav}<article><p>Before.</p><table><tr><td>{long}</td></tr></table><p>After.</p></article></body></html>"
+    pages = [(1, "whole", whole), (2, "linked", linked), (3, "parts", parts), (4, "table", table)]
+    # On this host most pages have a smaller container than the last one needs.
+    pages += [(10 + i, "mixed", short) for i in range(5)] + [(20, "mixed", whole)]
+    rows = [(i, f"http://{host}.example/", html) for i, host, html in pages]
+    got = html_text.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    long = long.strip()
+    want = {1: f"Title A lead. {long} An end.", 2: f"Title {long}", 3: f"{long} The rest of it.", 4: f"Before. {long} After."}
+    assert {r["page_id"]: r["text"] for r in got} == {**want, **{10 + i: long for i in range(5)}, 20: want[1]}
+
+
 def test_leaks(spark):
     item = "the quick brown fox jumps over a lazy dog while seven wizards box in the old grey barn".split()
     other = [*item[:6], "changed", *item[7:]]

@@ -1,10 +1,10 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
 A seed is a fixed mask over neighbouring words, of which some positions are ignored, so
-that a changed word in an ignored place does not hide a copy. Seeds of the benchmark are
-taken at every word, those of the documents at every second word; equal seeds give the
-shift at which a benchmark text may lie in a document, and the words around the hit are
-compared under that shift, which tolerates substitutions.
+that a changed word in an ignored place does not hide a copy. Seeds of the benchmark and
+of the documents are taken at every word, so that any passage of 13 words with two changed
+has one; equal seeds give the shift at which a benchmark text may lie in a document, and
+the words around the hit are compared under that shift, which tolerates substitutions.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from affinia.operators.sizes import measured_bytes
 #: Word offsets that a seed reads; the others in its span of nine are ignored.
 MASKS = ((0, 1, 3, 5, 6, 8), (0, 2, 3, 6, 7, 8), (0, 1, 2, 5, 7, 8))
 SPAN = 9
-STEP = 2
+STEP = 1
 #: Words of the window that has to agree, and in how many of them.
 WINDOW, AGREE = 13, 11
 #: A seed table of more bytes than this is joined by shuffling both sides.

@@ -221,6 +221,20 @@ def test_leaks(spark):
     assert decontaminate.leaks(frame(spark, docs), tests.limit(0)).collect() == []
 
 
+def test_leaks_with_any_two_words_changed(spark):
+    """All 78 ways to change 2 of 13 words, at odd and even places."""
+    item = [f"w{k}" for k in range(13)]
+    docs = []
+    for a in range(13):
+        for b in range(a):
+            for lead in (4, 5):
+                changed = ["other" if k in (a, b) else w for k, w in enumerate(item)]
+                docs.append((len(docs), " ".join(["lead"] * lead + changed + ["tail"] * 3)))
+    tests = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    got = decontaminate.leaks(frame(spark, docs), tests).collect()
+    assert sorted((r["doc_id"], r["matched"], r["best"]) for r in got) == [(i, 11, 11) for i in range(2 * 78)]
+
+
 def test_quality(spark):
     rng = random.Random(2)
     docs = [(i, " ".join(rng.choice(["and", "the", "word", "other", "text"]) + ("!!" if i % 4 == 0 else "") for _ in range(60))) for i in range(400)]

@@ -171,6 +171,22 @@ def test_toxicity(spark):
     assert len(one) == len(odd_texts()) and not any(r["predicted"] for r in one)
 
 
+def test_toxicity_scores_the_window_at_every_word():
+    rng = random.Random(6)
+    said = lambda n: " ".join(rng.choice("abcdefgh") * rng.randrange(1, 5) for _ in range(n))
+    texts = [said(n) for n in (0, 1, 5, 23, 24, 25, 39, 40, 41, 300, 5000, 0)]
+    net = toxicity.Network()
+    net.scale = np.array([0.1, 0.0])
+    score = lambda some: net.scores(*toxicity.utf8(toxicity.pa.array(some, toxicity.pa.string())))
+    for text, got in zip(texts, score(texts)):
+        own = text.split()
+        windows = [" ".join(own[i:i + toxicity.WINDOW]) for i in range(max(1, len(own) - toxicity.WINDOW + 1))]
+        assert got == pytest.approx(max(score(windows)), abs=1e-5)
+        words = toxicity.Words(*toxicity.utf8(toxicity.pa.array(windows, toxicity.pa.string())))
+        plain = net.forward(net.inputs(words), words.windows()[0])
+        assert got == pytest.approx(toxicity._sigmoid(plain.max() * 0.1), abs=1e-5)
+
+
 PAGE = """<html><body class="x"><header><h1>Site</h1></header><div id="nav-menu"><ul><li><a href=/>Home</a><li><a>B</a></ul></div>
 <div class="cookie-notice">We use</div><script>var t="</p>";</script><div class="layout"><div class="sidebar">s<p>foo</p></div>
 <div class="post-%d content"><h2>Title &amp; more</h2><p>Some <b>te</b>xt  here,\nlong enough to be it.<p>Second &lt;para&gt; of the text

@@ -1,11 +1,10 @@
-"""Removal of repeated byte strings by sorted, anchored suffixes.
+"""Removal of repeated byte strings by hashes at anchors; no suffix is sorted.
 
-Sorting every suffix of a corpus would move each byte hundreds of times. Here only
-suffixes at anchors travel: the anchor of a string of ``LENGTH`` bytes is the place of
+Only stretches at anchors travel: the anchor of a string of ``LENGTH`` bytes is the place of
 its smallest hash of ``LEAD`` leading bytes, which depends on the string alone, so equal
 strings meet under equal leading bytes. Neighbouring strings of one text share an
-anchor and travel as one stretch. Buckets of leading bytes are sorted locally, equal
-stretches become neighbours, and the strings of different stretches of one bucket are
+anchor and travel as one stretch. Buckets of leading bytes are sorted locally by the
+stretches' hashes, equal stretches become neighbours, and the strings of different stretches of one bucket are
 compared one by one.
 
 Leading bytes that many suffixes share are split over several buckets by the whole

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinia.llm import (
-    decontaminate, fingerprints, html_text, line_dedup, near_dedup, packing, quality, secrets, substring_dedup, toxicity,
+    decontaminate, filter_audit, fingerprints, html_text, lexical_search, line_dedup, near_dedup, packing, quality, secrets,
+    substring_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +171,76 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_array_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP12_SQL = """
+with words as (
+  select doc_id, coalesce(source, '') part, coalesce(text, '') t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') w from documents),
+marks as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) good, max(case when toxic = 1 then 1 else 0 end) toxic
+  from labels group by doc_id),
+firsts as (select t, min(doc_id) low from words group by t),
+masked as (
+  select part, coalesce(good, 0) good, coalesce(toxic, 0) toxic,
+    (case when len(w) < 200 then 1 else 0 end)
+    + (case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end)
+    + (case when 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) then 4 else 0 end)
+    + (case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end)
+    + (case when words.doc_id > low then 16 else 0 end) mask
+  from words join firsts using (t) left join marks on marks.doc_id = words.doc_id),
+cells as (select part, mask, count(*) n, sum(good) good, sum(toxic) toxic from masked group by part, mask),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) l, unnest([1, 2, 4, 8, 16]) b),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l filter_order, [a.b, b.b, c.b, d.b, e.b] bits
+  from letters a join letters b on b.l <> a.l join letters c on c.l not in (a.l, b.l)
+  join letters d on d.l not in (a.l, b.l, c.l) join letters e on e.l not in (a.l, b.l, c.l, d.l)),
+steps as (select filter_order, bits, unnest(range(1, 6)) step from orders),
+sides as (select filter_order, step, bits[step] bit, coalesce(list_sum(bits[1:step - 1]), 0)::int before from steps),
+counted as (
+  select part, filter_order, step, bit,
+    sum(case when mask & (before | bit) = 0 then n else 0 end) kept,
+    sum(case when mask & before = 0 and mask & bit <> 0 then n else 0 end) removed,
+    sum(case when mask & before <> 0 and mask & bit <> 0 then n else 0 end) redundant,
+    sum(case when mask = bit then n else 0 end) unique_fails,
+    sum(case when mask & before = 0 and mask & bit <> 0 then good else 0 end) good_lost,
+    sum(case when mask & before = 0 and mask & bit <> 0 then toxic else 0 end) toxic_lost
+  from cells cross join sides group by all)
+select part, filter_order, step::int step, kept::bigint kept, removed::bigint removed, redundant::bigint redundant,
+  unique_fails::bigint unique_fails, good_lost::bigint good_lost, toxic_lost::bigint toxic_lost,
+  (sum(removed) over (partition by part, bit))::bigint shapley
+from counted
+"""
+
+
+@query("op12_filter_interaction_audit", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_TERMS_SQL = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+OP13_SQL = f"""
+with d as (select doc_id, {_TERMS_SQL} w from documents),
+sized as (select doc_id, w, len(w)::bigint n from d where len(w) > 0),
+whole as (select count(*)::bigint n_docs, sum(n)::bigint total from sized),
+items as (select distinct item_id, unnest({_TERMS_SQL}) t from benchmark),
+wanted as (select distinct t from items),
+found as (
+  select doc_id, n, t, count(*)::bigint tf from (select doc_id, n, unnest(w) t from sized)
+  join wanted using (t) group by all),
+weighed as (
+  select t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint w from found, whole group by t, n_docs),
+scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // total))))::bigint score
+  from found join weighed using (t) join items using (t), whole group by all),
+ranked as (
+  select *, (row_number() over (partition by item_id order by score desc, doc_id))::int rank from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+@query("op13_ranked_lexical_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

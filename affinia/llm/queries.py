@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from affinia.llm import (
     decontaminate, filter_audit, fingerprints, html_text, lexical_search, line_dedup, near_dedup, packing, quality, secrets,
-    substring_dedup, toxicity,
+    substring_dedup, toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,3 +244,20 @@ select item_id, rank, doc_id, score from ranked where rank <= 10
 @query("op13_ranked_lexical_search", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = """
+with held as (
+  select page_id, coalesce(html, '') html, octet_length(encode(coalesce(html, '')))::bigint payload_bytes,
+    sha256(coalesce(html, '')) payload_digest from pages),
+firsts as (select *, min(page_id) over (partition by html) low from held)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id <> low then 'revisit' else 'response' end record_type,
+  case when payload_bytes >= 100 and page_id <> low then low end refers_to
+from firsts
+"""
+
+
+@query("op11_warc", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))

@@ -2,10 +2,10 @@
 
 A document's failures are a mask of five bits. Documents are counted per (part, mask)
 first, so that at most 32 cells a part are left whatever the number of documents. Each
-cell is then folded across the array of all 120 orders with SQL's higher-order functions:
-a running state says whether the cell's documents still stand, and every step adds a
-struct that is weighted with the cell's counts. The 600 structs of the cells of a part
-are added element by element.
+cell is then folded with SQL's higher-order functions across the array of all 120 orders,
+a constant that is broadcast with the plan: a running state says whether the cell's
+documents still stand, and every step adds a struct that is weighted with the cell's
+counts. The 600 structs of the cells of a part are added element by element.
 
 Odd rows: a null text counts as empty, a null ``source`` as the empty string. A null
 doc_id is smaller than none and larger than none, so such a row never fails E and is no
@@ -145,16 +145,12 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     filter removes in all 120 orders together (its Shapley value times 120).
     """
     counted = cells(docs, labels)
-    spark = docs.sparkSession
-    orders = F.broadcast(spark.range(1).select(order_steps().alias("orders")))  # one row of 120 orders
+    orders = order_steps()  # a constant that every task gets with its plan
     # At most 32 cells a part, so the list is bounded.
     parts = counted.groupBy("part").agg(F.collect_list(F.struct("mask", *WEIGHTS)).alias("cells"))
     zeros = F.array_repeat(F.struct(*[F.lit(0).cast("bigint").alias(c) for c in COUNTS]), 5 * len(ORDERS))
-    # The orders are one row of a broadcast side, so every part meets one row.
-    summed = parts.join(orders, F.size("cells") > 0).select(
-        "part", "orders",
-        F.aggregate("cells", zeros, lambda total, cell: _plus(total, folded(cell, F.col("orders")))).alias("steps"))
-    flat = F.flatten(F.transform("orders", lambda o: F.transform(
+    summed = parts.select("part", F.aggregate("cells", zeros, lambda total, cell: _plus(total, folded(cell, orders))).alias("steps"))
+    flat = F.flatten(F.transform(orders, lambda o: F.transform(
         o["bits"], lambda bit, i: F.struct(o["filter_order"].alias("filter_order"), (i + 1).alias("step"), bit.alias("bit")))))
     named = summed.select("part", F.arrays_zip(flat.alias("at"), F.col("steps").alias("counts")).alias("rows"))
 

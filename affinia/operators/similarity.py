@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from affinia.operators.indexing import top_per_group
 from affinia.operators.interactions import user_mean_deviation
+from affinia.operators.neighbours import nearest, similarity_mass
 from affinia.operators.pairs import SUMS, pair_sums
 
 
@@ -32,6 +33,21 @@ def user_similarity(ratings: DataFrame, swap: bool = False, **limits: int) -> Da
     return pearson(similarity_sums(ratings, swap, **limits)).select("left", "right", "n", "similarity")
 
 
+def nearest_entities(ratings: DataFrame, k: int, swap: bool = False, **blocks: int) -> DataFrame:
+    """(entity, neighbour, similarity): the k users (or, swapped, items) of largest similarity.
+
+    Equal to cutting ``user_similarity`` at k per entity, without a row per pair.
+    """
+    entity, feature = ("item", "user") if swap else ("user", "item")
+    return nearest(user_mean_deviation(ratings, entity), k, entity, feature, "deviation", **blocks)
+
+
+def total_similarity(ratings: DataFrame, swap: bool = False, **blocks: int) -> DataFrame:
+    """(entity, n, mass): known similarities of each entity and the sum of their sizes, without a row per pair."""
+    entity, feature = ("item", "user") if swap else ("user", "item")
+    return similarity_mass(user_mean_deviation(ratings, entity), entity, feature, "deviation", **blocks)
+
+
 def both_ways(similarity: DataFrame) -> DataFrame:
     """(entity, neighbour, similarity) in both directions."""
     forth = similarity.select(F.col("left").alias("entity"), F.col("right").alias("neighbour"), "similarity")
@@ -54,8 +70,13 @@ def corated_jaccard(ratings: DataFrame, **limits: int) -> DataFrame:
 
 
 def neighbours(similarity: DataFrame, k: int) -> DataFrame:
-    """The k most similar entities of each, by similarity then id; nulls never count."""
-    known = both_ways(similarity).where(F.col("similarity").isNotNull())
+    """The k most similar entities of each, by similarity then id; nulls never count.
+
+    ``similarity`` holds each pair once (left, right) or is a list of neighbours already
+    (entity, neighbour), as ``nearest_entities`` gives it.
+    """
+    listed = similarity if "neighbour" in similarity.columns else both_ways(similarity)
+    known = listed.where(F.col("similarity").isNotNull())
     return top_per_group(known, ["entity"], [F.desc("similarity"), F.asc("neighbour")], k)
 
 

@@ -20,6 +20,7 @@ from affinia.operators.indexing import dense_index, place_in_group, top_per_grou
 from affinia.plans import views as V
 from affinia.plans.registry import query, rounded, stamp
 from affinia.plans.views import sql
+from affinia.session import cut_lineage
 from affinia.sources import io
 
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -427,6 +428,11 @@ def latest(spark, sf) -> DataFrame:
     return I.latest_rating(V.ratings(spark, sf))
 
 
+def latest_once(spark, sf) -> DataFrame:
+    """For queries that read the ratings several times."""
+    return cut_lineage(latest(spark, sf))
+
+
 @query("WIN-03_latest_rating", sql("latest", 'SELECT u AS "user", item, rating, ' + STAMP.format("ts") + " AS ts FROM latest"))
 def _(spark, sf):
     return latest(spark, sf).select("user", "item", "rating", stamp("ts").alias("ts"))
@@ -497,11 +503,6 @@ def _(spark, sf):
     return S.corated_jaccard(V.ratings(spark, sf)).select("left", "right", "shared", rounded("jaccard").alias("jaccard"))
 
 
-def solid(similarity: DataFrame) -> DataFrame:
-    """Similarities rounded so that equal ones stay equal on every engine."""
-    return similarity.withColumn("similarity", rounded("similarity", 9))
-
-
 NEAR = sql("near", "SELECT 0").replace("AS s FROM sums", "AS s0 FROM sums").replace(
     "near AS (", "sim2 AS (SELECT l, r, round(s0, 9) AS s FROM sim), near AS (").replace(
     "SELECT l AS e, r AS nb, s FROM sim UNION ALL SELECT r, l, s FROM sim", "SELECT l AS e, r AS nb, s FROM sim2 UNION ALL SELECT r, l, s FROM sim2"
@@ -513,10 +514,33 @@ AFFINITY_SQL = (
 )
 
 
+@query("SIM-01_user_neighbours", NEAR + ' SELECT e AS "user", nb AS neighbour, s AS similarity, rk AS rank FROM near')
+def _(spark, sf):
+    """The five nearest users of each, without a row per pair of users."""
+    return _listed(S.nearest_entities(latest(spark, sf), 5), "user")
+
+
+def _listed(near: DataFrame, name: str) -> DataFrame:
+    ranked = top_per_group(near, ["entity"], [F.desc("similarity"), F.asc("neighbour")], 5)
+    return ranked.select(F.col("entity").alias(name), "neighbour", "similarity", F.col("rank").cast("bigint").alias("rank"))
+
+
+ITEM_NEAR = ITEM_SIM + (
+    ", isim2 AS (SELECT l, r, round(s, 9) AS s FROM isim WHERE s IS NOT NULL), "
+    "inear AS (SELECT * FROM (SELECT e, nb, s, row_number() OVER (PARTITION BY e ORDER BY s DESC, nb) AS rk FROM "
+    "(SELECT l AS e, r AS nb, s FROM isim2 UNION ALL SELECT r, l, s FROM isim2)) WHERE rk <= 5)"
+)
+
+
+@query("SIM-02_item_neighbours", ITEM_NEAR + " SELECT e AS item, nb AS neighbour, s AS similarity, rk AS rank FROM inear")
+def _(spark, sf):
+    return _listed(S.nearest_entities(latest(spark, sf), 5, swap=True), "item")
+
+
 @query("SIM-03_affinity", NEAR + AFFINITY_SQL + ' SELECT u AS "user", item, round(a, 5) AS affinity FROM aff')
 def _(spark, sf):
-    rows = latest(spark, sf)
-    return S.affinity(rows, solid(S.user_similarity(rows))).select("user", "item", rounded("affinity", 5).alias("affinity"))
+    rows = latest_once(spark, sf)
+    return S.affinity(rows, S.nearest_entities(rows, 5)).select("user", "item", rounded("affinity", 5).alias("affinity"))
 
 
 UPDATE_SQL = (
@@ -542,8 +566,7 @@ def _(spark, sf):
     ' SELECT e AS "user", segment AS predicted FROM (SELECT e, segment, row_number() OVER (PARTITION BY e ORDER BY count(*) DESC, segment) AS rk '
     "FROM near JOIN users ON users.u = nb GROUP BY 1, 2) WHERE rk = 1"))
 def _(spark, sf):
-    similarity = solid(S.user_similarity(latest(spark, sf)))
-    return S.neighbour_features(similarity, V.users(spark, sf), "segment")
+    return S.neighbour_features(S.nearest_entities(latest(spark, sf), 5), V.users(spark, sf), "segment")
 
 
 @query("SIM-06_user_segments")
@@ -559,12 +582,12 @@ def _(spark, sf):
     "AND NOT EXISTS (SELECT 1 FROM latest x WHERE x.u = e AND x.item = l.item) GROUP BY 1, 2) "
     'SELECT u AS "user", item, round(score, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(score, 9) DESC, item) AS rk FROM found) WHERE rk <= 10'))
 def _(spark, sf):
-    rows = latest(spark, sf)
-    return _cf(rows, S.user_similarity(rows), "user")
+    rows = latest_once(spark, sf)
+    return _cf(rows, S.nearest_entities(rows, 5), "user")
 
 
-def _cf(rows, similarity, mode) -> DataFrame:
-    top = S.cf_recommend(rows, solid(similarity), mode, 5, 10)
+def _cf(rows, near, mode) -> DataFrame:
+    top = S.cf_recommend(rows, near, mode, 5, 10)
     return top.select("user", "item", rounded("score").alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -576,14 +599,14 @@ def _cf(rows, similarity, mode) -> DataFrame:
     "AND NOT EXISTS (SELECT 1 FROM latest x WHERE x.u = l.u AND x.item = nb) GROUP BY 1, 2) "
     'SELECT u AS "user", item, round(score, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(score, 9) DESC, item) AS rk FROM found) WHERE rk <= 10'))
 def _(spark, sf):
-    rows = latest(spark, sf)
-    return _cf(rows, S.user_similarity(rows, swap=True), "item")
+    rows = latest_once(spark, sf)
+    return _cf(rows, S.nearest_entities(rows, 5, swap=True), "item")
 
 
 @query("SMP-08_neighbour_random")
 def _(spark, sf):
-    rows = latest(spark, sf)
-    return S.neighbour_random(rows, S.user_similarity(rows))
+    rows = latest_once(spark, sf)
+    return S.neighbour_random(rows, S.nearest_entities(rows, 5))
 
 
 @query("SMP-07_sequential_split", sql("ratings", (
@@ -634,7 +657,7 @@ def _(spark, sf):
 @query("ACT-03_influence", ITEM_SIM + (
     " SELECT item, round(sum(abs(s)), 4) AS influence FROM (SELECT l AS item, s FROM isim WHERE s IS NOT NULL UNION ALL SELECT r, s FROM isim WHERE s IS NOT NULL) GROUP BY 1"))
 def _(spark, sf):
-    out = A.influence(S.user_similarity(latest(spark, sf), swap=True))
+    out = A.influence(S.total_similarity(latest(spark, sf), swap=True))
     return out.select("item", rounded("influence", 4).alias("influence"))
 
 

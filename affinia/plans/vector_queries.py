@@ -19,6 +19,7 @@ from affinia.operators import sampling as SA
 from affinia.operators import vectors as VE
 from affinia.operators.filters import min_playlist_length
 from affinia.operators.indexing import top_per_group
+from affinia.operators.track_search import list_rows, recall_of_lists, track_lists
 from affinia.plans import views as V
 from affinia.plans.interaction_queries import score_table
 from affinia.plans.registry import query, rounded
@@ -490,10 +491,12 @@ def corpus(spark, sf, tracks: DataFrame | None = None) -> DataFrame:
 
 
 def ranked_corpus(spark, sf, k: int):
-    tracks = V.playlists(spark, sf)
+    """The k best tracks of every example, as lists, and the examples."""
+    tracks = cut_lineage(V.playlists(spark, sf))
     rows = cut_lineage(examples(spark, sf, tracks))
     vecs = V.vecs(spark, sf)
-    return P.score_corpus(P.context_vectors(rows, vecs, vecs, "pl", 100), corpus(spark, sf, tracks), k), rows
+    contexts = P.context_vectors(rows, vecs, vecs, "pl", 100).where(F.col("chunk") == 0)
+    return track_lists(contexts, corpus(spark, sf, tracks), k), rows
 
 
 AFF_SQL = EX_SQL + (
@@ -511,8 +514,8 @@ AFF_SQL = EX_SQL + (
 @query("REC-05_context_affinity", with_sql("pls vecs", AFF_SQL) + (
     "SELECT pl, track_idx, round(s, 6) AS score, rk AS rank FROM rs WHERE rk <= 10"))
 def _(spark, sf):
-    top, _ = ranked_corpus(spark, sf, 10)
-    return top.select("pl", "track_idx", rounded("score").alias("score"), big())
+    lists, _ = ranked_corpus(spark, sf, 10)
+    return list_rows(lists).select("pl", "track_idx", rounded("score").alias("score"), big())
 
 
 @query("EVAL-01_recall_at_k", with_sql("pls vecs", AFF_SQL) + (
@@ -522,8 +525,8 @@ def _(spark, sf):
     "SELECT pl, round(coalesce(ht.h, 0) / n, 6) AS track_recall, round(coalesce(ha.h, 0) / n, 6) AS artist_recall, round(coalesce(ht.h, 0) / dn, 6) AS distinct_track_recall "
     "FROM nx LEFT JOIN ht USING (pl) LEFT JOIN ha USING (pl)"))
 def _(spark, sf):
-    top, rows = ranked_corpus(spark, sf, 500)
-    out = P.recall_at_k(top, rows)
+    lists, rows = ranked_corpus(spark, sf, 500)
+    out = recall_of_lists(lists, rows)
     return out.select("pl", *[rounded(c).alias(c) for c in ("track_recall", "artist_recall", "distinct_track_recall")])
 
 

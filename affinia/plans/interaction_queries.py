@@ -16,6 +16,7 @@ from affinia.operators import retrieval as RT
 from affinia.operators import sampling as SA
 from affinia.operators import similarity as S
 from affinia.operators import models as M
+from affinia.operators.factor_search import best_unseen
 from affinia.operators.indexing import dense_index, place_in_group, top_per_group
 from affinia.plans import views as V
 from affinia.plans.registry import query, rounded, stamp
@@ -572,9 +573,7 @@ def _(spark, sf):
 @query("SIM-06_user_segments")
 def _(spark, sf):
     rows = latest(spark, sf)
-    model = M.matrix_factorisation(rows, rank=4, iterations=3)
-    factors = model.userFactors.select(F.col("id").cast("bigint").alias("user"), F.col("features").alias("vec"))
-    return M.user_segments(factors, 5)
+    return M.user_segments(M.matrix_factorisation(rows, rank=4, iterations=3).users, 5)
 
 
 @query("REC-04_cf_recommend_user", NEAR + (
@@ -671,11 +670,30 @@ def _(spark, sf):
 
 @query("ACT-03_personal_active")
 def _(spark, sf):
-    rows = latest(spark, sf)
-    model = M.matrix_factorisation(rows, rank=4, iterations=3, implicit=True)
-    known = S.cf_recommend(rows, S.user_similarity(rows), "user", 5, 20).select("user", "item")
-    experience = M.complete_ratings(model, known).withColumnRenamed("prediction", "likelihood")
-    return A.personal_active(experience, A.influence(S.user_similarity(rows, swap=True)), 5)
+    """Over every item that a user has not rated."""
+    rows = latest_once(spark, sf)
+    factors = M.matrix_factorisation(rows, rank=4, iterations=3, implicit=True)
+    weight = A.influence(S.total_similarity(rows, swap=True))
+    return A.personal_active_of_factors(factors.users, factors.items, weight, rows.select("user", "item"), 5)
+
+
+@query("ACT-03_personal_top", sql("latest", (
+    ", uv AS (SELECT u, [count(*)::DOUBLE, sum(rating) / 10, min(item) % 7] AS v FROM latest GROUP BY 1), "
+    "iv AS (SELECT item, [avg(rating), count(*) / 5, max(u) % 5 - 2] AS v FROM latest GROUP BY 1), "
+    "x AS (SELECT uv.u, iv.item, list_dot_product(uv.v, iv.v::DOUBLE[]) AS s FROM uv, iv "
+    "WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.u = uv.u AND l.item = iv.item)) "
+    'SELECT u AS "user", item, round(s, 6) AS score, rk AS rank FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(s, 9) DESC, item) AS rk FROM x) WHERE rk <= 5')).replace(") ,", "),", 1))
+def _(spark, sf):
+    """The same search by vectors of plain sums, which SQL can form too."""
+    rows = latest_once(spark, sf)
+
+    def vector(by: str, *parts) -> DataFrame:
+        return rows.groupBy(by).agg(F.array(*[p.cast("double") for p in parts]).alias("vec"))
+
+    users = vector("user", F.count("*"), F.sum("rating") / 10, F.min("item") % 7)
+    items = vector("item", F.avg("rating"), F.count("*") / 5, F.max("user") % 5 - 2)
+    top = best_unseen(users, items, rows, 5)
+    return top.select("user", "item", rounded("score").alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
 @query("ACT-04_onboarding_questions", sql("latest", (
@@ -692,8 +710,7 @@ def _(spark, sf):
 @query("REC-07_matrix_factorisation")
 def _(spark, sf):
     rows = latest(spark, sf)
-    model = M.matrix_factorisation(rows, rank=4, iterations=4)
-    return M.complete_ratings(model, rows)
+    return M.complete_ratings(M.matrix_factorisation(rows, rank=4, iterations=4), rows)
 
 
 # ---- lists ---------------------------------------------------------------------------------

@@ -195,16 +195,20 @@ def _signed(df: DataFrame, key: str, bits: int, tables: int, seed: int) -> DataF
 
 def ann(
     queries: DataFrame, items: DataFrame, k: int, query_key: str = "query", item_key: str = "item",
-    vec: str = "vec", metric: str = "cosine", bits: int = 4, tables: int = 8, seed: int = 7,
+    vec: str = "vec", metric: str = "cosine", bits: int | None = None, tables: int = 8, seed: int = 7,
     exclude_self: bool = False, block: int = BLOCK,
 ) -> DataFrame:
     """Approximate neighbours: sign buckets, then exact scores inside a shared bucket.
 
     A bucket of any size is cut into blocks of about ``block`` items and its queries go
     to each of them, so a bucket that holds a third of the items is many bounded tasks.
+    Without ``bits`` there are as many as keep a bucket of a table at about 64 items.
     """
+    held = _prepare(items, item_key, vec, "item")
+    if bits is None:
+        bits = max(1, (held.count() // 64).bit_length())
     q = _signed(_prepare(queries, query_key, vec, "query"), "query", bits, tables, seed)
-    i = _signed(_prepare(items, item_key, vec, "item"), "item", bits, tables, seed)
+    i = _signed(held, "item", bits, tables, seed)
     cuts = i.groupBy("_q").agg(F.ceil(F.count("*") / block).cast("int").alias("_cuts"))
     # One row per bucket: at most tables * 2^bits of them.
     cuts = F.broadcast(cuts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from affinia.operators import bloom as B
 from affinia.operators import cooccurrence as C
 from affinia.operators import dictionary as D
 from affinia.operators import evaluate as E
+from affinia.operators import ivf as IVF
 from affinia.operators import features as FE
 from affinia.operators import models as M
 from affinia.operators import playlists as P
@@ -163,6 +166,7 @@ def _(spark, sf):
 
 @query("RET-07_ann_search")
 def _(spark, sf):
+    """Sign buckets, as many as the number of items asks for."""
     return VE.ann(scenes(spark, sf), products(spark, sf), 10)
 
 
@@ -172,6 +176,32 @@ def _(spark, sf):
     return VE.ann_recall(VE.ann(scenes(spark, sf), products(spark, sf), 10), exact)
 
 
+@query("RET-07_inverted_file")
+def _(spark, sf):
+    return IVF.search(IVF.build(products(spark, sf)), scenes(spark, sf), 10)
+
+
+@query("RET-07_inverted_file_recall")
+def _(spark, sf):
+    """Recall against exact search, and what a query costs."""
+    index = IVF.build(products(spark, sf))
+    exact = VE.knn(scenes(spark, sf), products(spark, sf), 10, metric="cosine")
+    recall = VE.ann_recall(IVF.search(index, scenes(spark, sf), 10), exact)
+    cost = IVF.cost(index, scenes(spark, sf)).agg(F.avg("probed").alias("lists_probed"), F.avg("scanned").alias("codes_read"))
+    return recall.join(cost, F.lit(True)).withColumn("lists", F.lit(index.n_lists)).withColumn("scored", F.lit(320))
+
+
+COSINE_SQL = "x AS (SELECT q.id AS query, i.id AS item, list_cosine_similarity(q.vec, i.vec) AS s FROM vecs q JOIN vecs i ON q.id % 2 = 0 AND i.id % 2 = 1)"
+
+
+@query("RET-07_inverted_file_all_lists", with_sql("vecs", COSINE_SQL) + TOP_SQL + "10")
+def _(spark, sf):
+    """With margins that let every list in, the inverted file gives the exact neighbours and scores."""
+    index = replace(IVF.build(products(spark, sf)), margins=(4.0, 4.0))
+    found = IVF.search(index, scenes(spark, sf), 10)
+    return found.select("query", "item", rounded("score").alias("score"), big())
+
+
 @query("ACT-02_representatives", with_sql("vecs", (
     "comp AS (SELECT id, label, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS p FROM vecs), cen AS (SELECT label, p, avg(x) AS m FROM comp GROUP BY 1, 2), "
     "d AS (SELECT label, id, sqrt(sum((x - m) * (x - m))) AS d FROM comp JOIN cen USING (label, p) GROUP BY 1, 2)")) + (

@@ -12,7 +12,7 @@ from affinia.plans import views as V
 from affinia.plans.interaction_queries import latest
 from affinia.plans.registry import query, rounded, stamp
 from affinia.plans.source_queries import event_stream
-from affinia.plans.vector_queries import BITS, HASHES
+from affinia.plans.vector_queries import RATE
 from affinia.plans.views import sql
 from affinia.session import scratch_path
 from affinia.sources import io
@@ -106,10 +106,11 @@ def _(spark, sf):
         (F.col("user") * 1000 + F.col("item")).alias("key")
     )
     out = scratch_path(spark, "bloom")
-    ST.stream_bloom_add(keys, out, scratch_path(spark, "offsets"), "key", BITS, HASHES).awaitTermination()
+    bits, hashes = B.design(100000, RATE)
+    ST.stream_bloom_add(keys, out, scratch_path(spark, "offsets"), "key", bits, hashes).awaitTermination()
     bloom = ST.merged_bloom(read_parts(spark, f"{out}/bitmaps", "bucket bigint, bitmap binary"))
     added = read_parts(spark, f"{out}/keys", "key bigint")
-    return B.bloom_contains(added, bloom, "key", BITS, HASHES)
+    return B.bloom_contains(added, bloom, "key", bits, hashes)
 
 
 @query("STR-07_stream_outcome_join", sql("views", (

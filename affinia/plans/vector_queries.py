@@ -14,6 +14,7 @@ from affinia.operators import cooccurrence as C
 from affinia.operators import dictionary as D
 from affinia.operators import evaluate as E
 from affinia.operators import ivf as IVF
+from affinia.operators import layered_bloom as LB
 from affinia.operators import features as FE
 from affinia.operators import models as M
 from affinia.operators import playlists as P
@@ -362,7 +363,8 @@ def _(spark, sf):
 
 # ---- bloom filters --------------------------------------------------------------------------
 
-BITS, HASHES = B.design(100_000, 0.01)
+#: Error rate of the filters below; their size follows from the counted keys.
+RATE = 1e-6
 
 
 def bought(spark, sf) -> DataFrame:
@@ -371,51 +373,87 @@ def bought(spark, sf) -> DataFrame:
     )
 
 
-@query("RET-10_bloom_contains", sql("views", (
-    "SELECT u * 1000 + item AS key, true AS maybe FROM views WHERE event_type = 'purchase' GROUP BY 1")))
+def plain_keys(spark, sf, event_type: str) -> DataFrame:
+    return V.views(spark, sf).where(F.col("event_type") == event_type).select((F.col("user") * 1000 + F.col("item")).alias("key"))
+
+
+PRESENT_SQL = (
+    ", b AS (SELECT DISTINCT u * 1000 + item AS key FROM views WHERE event_type = 'purchase'), "
+    "v AS (SELECT DISTINCT u * 1000 + item AS key FROM views WHERE event_type IN ('view', 'purchase')) "
+)
+
+
+@query("RET-10_bloom_contains", sql("views", "SELECT 0").replace(" SELECT 0", PRESENT_SQL) + "SELECT key, key IN (SELECT key FROM b) AS maybe FROM v")
+def _(spark, sf):
+    """Bought pairs are found and only viewed ones are not."""
+    rows = plain_keys(spark, sf, "purchase")
+    return LB.contains(LB.build(rows, "key", RATE), rows.unionByName(plain_keys(spark, sf, "view")), "key")
+
+
+@query("RET-10_bloom_grown", sql("views", "SELECT 0").replace(" SELECT 0", PRESENT_SQL) + "SELECT key, key IN (SELECT key FROM b) AS maybe FROM v")
 def _(spark, sf):
-    """Every key that was added is found: half in the first build, half added later."""
-    rows = bought(spark, sf).select((F.col("user") * 1000 + F.col("item")).alias("key"))
-    first = B.bloom_build(rows.where(F.col("key") % 2 == 0), "key", BITS, HASHES)
-    both = B.bloom_add(first, rows.where(F.col("key") % 2 == 1), "key", BITS, HASHES)
-    return B.bloom_contains(rows, both, "key", BITS, HASHES)
+    """Half of the keys in the first build, half added later, in a second layer."""
+    rows = plain_keys(spark, sf, "purchase")
+    first = LB.build(rows.where(F.col("key") % 2 == 0), "key", RATE)
+    both = LB.add(first, rows.where(F.col("key") % 2 == 1), "key")
+    return LB.contains(both, rows.unionByName(plain_keys(spark, sf, "view")), "key")
 
 
-@query("RET-10_bloom_filter_out")
+@query("RET-10_bloom_settled", sql("views", "SELECT 0").replace(" SELECT 0", PRESENT_SQL) + "SELECT key, key IN (SELECT key FROM b) AS present FROM v")
 def _(spark, sf):
-    """Viewed pairs that were certainly not bought."""
-    bloom = B.bloom_build(bought(spark, sf), "key", BITS, HASHES)
+    """A filter that errs often gives the exact answer once its doubtful rows are joined."""
+    rows = plain_keys(spark, sf, "purchase")
+    held = LB.build(rows, "key", 0.3)
+    return LB.settled(held, rows.unionByName(plain_keys(spark, sf, "view")), "key", rows)
+
+
+@query("RET-10_bloom_filter_out", sql("views", (
+    "SELECT DISTINCT u AS \"user\", item FROM views v WHERE event_type = 'view' "
+    "AND NOT EXISTS (SELECT 1 FROM views b WHERE b.event_type = 'purchase' AND b.u = v.u AND b.item = v.item)")))
+def _(spark, sf):
+    """Viewed pairs that were not bought."""
+    rows = bought(spark, sf)
     viewed = V.views(spark, sf).where(F.col("event_type") == "view").select(
         keys.pair_key(F.col("user"), F.col("item")).alias("key"), "user", "item"
     ).distinct()
-    return B.bloom_filter_out(viewed, bloom, "key", BITS, HASHES)
+    return LB.filter_out(viewed, LB.build(rows, "key"), "key", rows).select("user", "item")
 
 
 @query("RET-10_bloom_build")
 def _(spark, sf):
-    bloom = B.bloom_build(bought(spark, sf), "key", BITS, HASHES)
-    return bloom.select("bucket", F.bitmap_count("bitmap").alias("bits_set"))
+    held = LB.build(bought(spark, sf), "key")
+    return held.bitmaps.select("layer", "bucket", F.bitmap_count("bitmap").alias("bits_set"))
 
 
 def _set_keys(spark, sf, event_type) -> DataFrame:
     return V.views(spark, sf).where(F.col("event_type") == event_type).select(F.col("item").alias("key")).distinct()
 
 
-@query("SET-05_bloom_union", sql("views", (
-    "SELECT item AS key, true AS maybe FROM views WHERE event_type IN ('view', 'click') GROUP BY 1")))
+# Of any event, so that keys of neither set are asked for too.
+SETS_SQL = (
+    ", s AS (SELECT item AS key, bool_or(event_type = 'view') AS a, bool_or(event_type = 'purchase' AND u % 7 = 0) AS b FROM views GROUP BY 1) "
+)
+
+
+def _two_sets(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    events = V.views(spark, sf)
+    rare = events.where((F.col("event_type") == "purchase") & (F.col("user") % 7 == 0))
+    return _set_keys(spark, sf, "view"), rare.select(F.col("item").alias("key")).distinct(), events.select(F.col("item").alias("key"))
+
+
+@query("SET-05_bloom_union", sql("views", "SELECT 0").replace(" SELECT 0", SETS_SQL) + "SELECT key, a OR b AS maybe FROM s")
 def _(spark, sf):
-    parts = [B.bloom_build(_set_keys(spark, sf, t), "key", BITS, HASHES) for t in ("view", "click")]
-    every = V.views(spark, sf).where(F.col("event_type").isin("view", "click")).select(F.col("item").alias("key"))
-    return B.bloom_contains(every, B.bloom_or(*parts), "key", BITS, HASHES)
+    one, two, every = _two_sets(spark, sf)
+    return LB.contains(LB.merge(LB.build(one, "key", RATE), LB.build(two, "key", RATE)), every, "key")
 
 
-@query("SET-05_bloom_intersect", sql("views", (
-    "SELECT item AS key, true AS maybe FROM views WHERE event_type = 'view' AND item IN (SELECT item FROM views WHERE event_type = 'click') GROUP BY 1")))
+@query("SET-05_bloom_intersect", sql("views", "SELECT 0").replace(" SELECT 0", SETS_SQL) + "SELECT key, a AND b AS maybe FROM s")
 def _(spark, sf):
-    """Keys of both sets are always found in the intersection."""
-    parts = [B.bloom_build(_set_keys(spark, sf, t), "key", BITS, HASHES) for t in ("view", "click")]
-    shared = _set_keys(spark, sf, "view").join(_set_keys(spark, sf, "click"), "key", "left_semi")
-    return B.bloom_contains(shared, B.bloom_and(*parts), "key", BITS, HASHES)
+    """Filters of one size, which follows from the larger of the two counted sets."""
+    one, two, every = _two_sets(spark, sf)
+    bits, hashes = B.design(max(1, one.count(), two.count()), RATE)
+    parts = [B.bloom_build(k, "key", bits, hashes) for k in (one, two)]
+    return B.bloom_contains(every, B.bloom_and(*parts), "key", bits, hashes)
 
 
 @query("RET-11_bloom_similarity")

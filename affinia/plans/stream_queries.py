@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators import bloom as B
+from affinia.operators import layered_bloom as LB
 from affinia.operators import evaluate as E
 from affinia.operators import similarity as S
 from affinia.plans import views as V
@@ -17,7 +17,7 @@ from affinia.plans.views import sql
 from affinia.session import scratch_path
 from affinia.sources import io
 from affinia.streaming import operators as ST
-from affinia.streaming.tables import append_to, latest_rows, read_parts
+from affinia.streaming.tables import append_to
 
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -53,8 +53,7 @@ def _(spark, sf):
     out = scratch_path(spark, "online")
     stream = event_stream(spark, sf, 3).select("user", "ts", "event_id", "item", "event_type")
     ST.stream_feature_upsert(stream, out, scratch_path(spark, "offsets"), "user").awaitTermination()
-    parts = read_parts(spark, out, "user bigint, ts timestamp, event_id bigint, item bigint, event_type string")
-    return latest_rows(parts, ["user"], "ts").select("user", "event_id", "item", "event_type", stamp("ts").alias("ts"))
+    return ST.feature_table(spark, out, stream.schema, "user").read().select("user", "event_id", "item", "event_type", stamp("ts").alias("ts"))
 
 
 @query("STR-03_stream_hourly_metrics", sql("views", (
@@ -88,29 +87,27 @@ def _(spark, sf):
     day = F.lit("2000-06-01").cast(rows.schema["ts"].dataType)
     old, new = rows.where(F.col("ts") < day), rows.where(F.col("ts") >= day)
     source = scratch_path(spark, "ratings")
-    new.withColumn("ts", F.col("ts").cast("timestamp")).repartition(1).write.parquet(source)
-    stream = io.read_event_stream(spark, source, ST.RATING_LOG)
+    new.withColumn("ts", F.col("ts").cast("timestamp")).repartitionByRange(4, "ts", "user", "item").write.parquet(source)
+    stream = io.read_event_stream(spark, source, "user bigint, item bigint, rating double, ts timestamp")
     out = scratch_path(spark, "speed")
     means = old.groupBy("user").agg(F.avg("rating").alias("mean"))
     ST.speed_layer_similarity(stream, old, means, out, scratch_path(spark, "offsets")).awaitTermination()
-    delta = read_parts(spark, f"{out}/sums", ST.SUM_LOG)
+    delta = ST.SpeedLayer(spark, out).sums.read()
     total = S.add_sums(S.similarity_sums(old).unionByName(delta))
     return total.select("left", "right", F.col("n").cast("bigint").alias("n"), rounded("sxy", 9).alias("sxy"))
 
 
 @query("STR-06_stream_bloom_add", sql("views", (
-    "SELECT u * 1000 + item AS key, true AS maybe FROM views WHERE event_type = 'purchase' GROUP BY 1")))
+    "SELECT u * 1000 + item AS key, bool_or(event_type = 'purchase') AS maybe FROM views GROUP BY 1")))
 def _(spark, sf):
-    """Every key that went by in the stream is found."""
+    """Every key that went by in the stream is found, and no other."""
     keys = event_stream(spark, sf, 3).where(F.col("event_type") == "purchase").select(
         (F.col("user") * 1000 + F.col("item")).alias("key")
     )
     out = scratch_path(spark, "bloom")
-    bits, hashes = B.design(100000, RATE)
-    ST.stream_bloom_add(keys, out, scratch_path(spark, "offsets"), "key", bits, hashes).awaitTermination()
-    bloom = ST.merged_bloom(read_parts(spark, f"{out}/bitmaps", "bucket bigint, bitmap binary"))
-    added = read_parts(spark, f"{out}/keys", "key bigint")
-    return B.bloom_contains(added, bloom, "key", bits, hashes)
+    ST.stream_bloom_add(keys, out, scratch_path(spark, "offsets"), "key", RATE).awaitTermination()
+    asked = V.views(spark, sf).select((F.col("user") * 1000 + F.col("item")).alias("key"))
+    return LB.contains(ST.merged_bloom(spark, out, RATE), asked, "key")
 
 
 @query("STR-07_stream_outcome_join", sql("views", (
@@ -134,7 +131,7 @@ def _(spark, sf):
     out = scratch_path(spark, "drift")
     scored = event_stream(spark, sf).withColumnRenamed("value", "score")
     ST.stream_score_drift(scored, prior, out, scratch_path(spark, "offsets"), 0.0, 100.0, 10).awaitTermination()
-    return read_parts(spark, out, "rows bigint, kl double").select("rows", rounded("kl").alias("kl"))
+    return ST.drift_table(spark, out).read().select("rows", rounded("kl").alias("kl"))
 
 
 @query("STR-09_freshness_state", sql("views", (
@@ -143,4 +140,4 @@ def _(spark, sf):
 def _(spark, sf):
     out = scratch_path(spark, "fresh")
     ST.freshness_state(event_stream(spark, sf, 3), out, scratch_path(spark, "offsets")).awaitTermination()
-    return ST.stale_since(read_parts(spark, out, ST.FRESHNESS_LOG), 2, "2024-01-08")
+    return ST.stale_since(ST.freshness_table(spark, out).read(), 2, "2024-01-08")

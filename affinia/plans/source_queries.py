@@ -13,7 +13,7 @@ from affinia.plans.text_queries import DOC_SQL, PG_LK, digest
 from affinia.plans.vector_queries import DOT_SQL, EX_SQL, PAIRS_SQL, TOP_SQL, examples, products, scene_pairs, scenes, with_sql
 from affinia.plans.views import sql
 from affinia.session import scratch_path
-from affinia.sources import io
+from affinia.sources import io, rejects
 from affinia.streaming.tables import append_to
 
 
@@ -56,6 +56,21 @@ def _(spark, sf):
     return _doc_rows(io.read_typed(spark, path, "text_document"))
 
 
+@query("SRC-02_rejects", PG_LK + DOC_SQL + (
+    ", n AS (SELECT count(*) AS n FROM doc) SELECT 'no field set' AS reason, 1 AS files, n AS records FROM n "
+    "UNION ALL SELECT 'unreadable file', 1, NULL FROM n UNION ALL SELECT 'read', NULL, n FROM n"))
+def _(spark, sf):
+    """Documents, as many rows that hold nothing in a file of their own, and a file that is no Parquet."""
+    path = scratch_path(spark, "docs")
+    docs = V.wiki_docs(spark, sf)
+    io.write_typed(docs, f"{path}/good")
+    docs.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields]).coalesce(1).write.parquet(f"{path}/nothing")
+    V.table(spark, sf, "nation").select("n_name").coalesce(1).write.text(f"{path}/broken")
+    checked = rejects.checked_typed(spark, [f"{path}/{part}" for part in ("good", "nothing", "broken")], "text_document")
+    read = checked.rows.agg(F.count("*").alias("records")).select(F.lit("read").alias("reason"), F.lit(None).cast("bigint").alias("files"), "records")
+    return rejects.summary(checked.rejects).unionByName(read)
+
+
 @query("SRC-03_write_typed", DOC_ROWS)
 def _(spark, sf):
     path = scratch_path(spark, "docs")
@@ -114,6 +129,24 @@ def _(spark, sf):
     return io.read_scene_product(spark, path).select("scene", "product", F.size("bbox").alias("corners"))
 
 
+@query("SRC-07_rejects", with_sql("views", PAIRS_SQL) + (
+    "SELECT reason, count(*) AS records FROM (SELECT CASE WHEN no % 5 = 0 THEN 'malformed' WHEN no % 7 = 0 THEN 'no product' "
+    "WHEN no % 11 = 0 THEN 'malformed' ELSE 'read' END AS reason FROM (SELECT CAST('0x' || scene[1:6] AS BIGINT) AS no FROM sp)) GROUP BY 1"))
+def _(spark, sf):
+    """Pairs as lines, some cut off, some without a product and some with a box that is none."""
+    path = scratch_path(spark, "pairs")
+    box = F.array(*[F.lit(x) for x in (0.1, 0.2, 0.7, 0.9)])
+    no = F.conv(F.substring("scene", 1, 6), 16, 10).cast("bigint")
+    pairs = scene_pairs(spark, sf).withColumn("product", F.when((no % 7 != 0) | (no % 5 == 0), F.col("product")))
+    line = F.to_json(F.struct("scene", "product", box.alias("bbox")))
+    strange = F.to_json(F.struct("scene", "product", F.lit("wide").alias("bbox")))
+    written = F.when(no % 5 == 0, F.substring(line, 1, 9)).when((no % 7 != 0) & (no % 11 == 0), strange).otherwise(line)
+    pairs.select(written.alias("value")).write.text(path)
+    checked = rejects.checked_scene_product(spark, path)
+    read = checked.rows.agg(F.count("*").alias("records")).select(F.lit("read").alias("reason"), "records")
+    return rejects.summary(checked.rejects).select("reason", "records").unionByName(read)
+
+
 def _key_values(spark, sf) -> DataFrame:
     return V.items(spark, sf).select(F.md5(F.col("item").cast("string")).alias("key"), F.col("category").alias("value"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -54,16 +54,33 @@ _WITHIN = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table
            "option": {"select"}, "tbody": {"table"}}
 
 
-def _described(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's generalised name, and whether it stands beside the article."""
+#: Of these words, those that name what readers, advertisers and the site add even inside an article.
+ADDED_WORDS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "cookie", "cookies", "consent",
+    "disqus", "gdpr", "newsletter", "promo", "promoted", "promotion", "share", "sharing", "social", "sponsor", "sponsored",
+    "subscribe", "subscription"}
+#: Elements that words of a class or an id can mark; headings and paragraphs are not among them.
+MARKED = CONTAINERS - {"body", "article", "main"} | {"span", "ins", "iframe", "menu", "dialog", "button", "address"}
+#: Levels of containers that a path names; what lies deeper has the path of the last of them.
+DEEPEST = 128
+
+
+def _described(tag: str, attributes: str, within: bool) -> tuple[str, bool]:
+    """The element's generalised name, and whether it stands beside the article.
+
+    ``within`` an article a header is its heading, ids are anchors, and only classes that
+    name additions mark a container; headings and paragraphs are marked nowhere.
+    """
+    aside = tag in ASIDE and not (within and tag in ("header", "label", "fieldset"))
     if not attributes or attributes.isspace():
-        return tag, tag in ASIDE
-    aside, words = tag in ASIDE, []
+        return tag, aside
+    words = []
     for m in _NAMES.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id"):
             tokens = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value))
-            if tag not in ("body", "html", "article", "main") and any(t in ASIDE_WORDS for t in tokens):
+            marks = (ADDED_WORDS if key == "class" else ()) if within else ASIDE_WORDS
+            if tag in MARKED and any(t in marks for t in tokens):
                 aside = True
             if key == "class" and value.split():
                 words.append(re.sub(r"\d+", "#", value.split()[0]))
@@ -76,25 +93,75 @@ def _described(tag: str, attributes: str) -> tuple[str, bool]:
     return ".".join([tag, *words]), aside
 
 
+class _Open:
+    """The open elements of a page, with counts that spare looking through all of them."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[str, bool, bool, int]] = []  # tag, beside, block, length of the path before it
+        self.path: list[str] = []
+        self.tags: Counter[str] = Counter()
+        self.beside = self.articles = 0
+
+    def push(self, tag: str, name: str, aside: bool, block: bool) -> None:
+        self.held.append((tag, aside, block, len(self.path)))
+        if tag in CONTAINERS and len(self.path) < DEEPEST:
+            self.path.append(name)
+        self.tags[tag] += 1
+        self.beside += aside
+        self.articles += tag in ARTICLE
+
+    def cut(self, depth: int) -> None:
+        """Closes all elements from a depth on."""
+        for tag, aside, _, before in reversed(self.held[depth:]):
+            del self.path[before:]
+            self.tags[tag] -= 1
+            self.beside -= aside
+            self.articles -= tag in ARTICLE
+        del self.held[depth:]
+
+    def last(self, tag: str) -> int | None:
+        if not self.tags[tag]:
+            return None
+        return next(k for k in range(len(self.held) - 1, -1, -1) if self.held[k][0] == tag)
+
+    def block_after(self, depth: int) -> bool:
+        return any(block for _, _, block, _ in self.held[depth + 1:])
+
+    def make_room(self, tag: str) -> None:
+        """Closes what a new block ends by beginning."""
+        depth = self.last("p")
+        if depth is not None and (depth == len(self.held) - 1 or not self.block_after(depth)):
+            self.cut(depth)
+        ends = _CLOSES.get(tag, ())
+        if not any(self.tags[t] for t in ends):
+            return
+        for k in range(len(self.held) - 1, -1, -1):
+            if self.held[k][0] in _WITHIN[tag]:
+                break
+            if self.held[k][0] in ends:
+                self.cut(k)
+                if not any(self.tags[t] for t in ends):
+                    break
+
+
 def page_blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
     """(container path, text, linked characters, beside the article) of each block in page order."""
     out: list[tuple[tuple[str, ...], str, int, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, name, beside, block
-    parts: list[str] = []
-    linked, in_link, at, end = 0, 0, 0, len(html)
+    stack, parts = _Open(), []
+    linked, in_link, at, end, last = 0, 0, 0, len(html), html.rfind(">")
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                path = tuple(s[1] for s in stack if s[0] in CONTAINERS)
-                out.append((path, text, linked, any(s[2] for s in stack)))
+                out.append((tuple(stack.path), text, linked, stack.beside > 0))
             parts.clear()
         linked = 0
 
     while at < end:
-        m = _TAG.search(html, at)
+        # Behind the last ">" no tag ends; looking for one again and again would take the square of the length.
+        m = _TAG.search(html, at) if at <= last or "<!--" in html[at:] else None
         if m is None:
             parts.append(html[at:])
             break
@@ -110,16 +177,16 @@ def page_blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         if m[1] or m[4]:
             if tag == "a":
                 in_link = 0
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
+            depth = stack.last(tag)
             if depth is None:
                 if tag == "p":
                     flush()
                 continue
-            if stack[depth][3]:
+            if stack.held[depth][2]:
                 flush()
-            elif any(s[3] for s in stack[depth + 1:]):
+            elif stack.block_after(depth):
                 continue  # an inline end inside a block that began later
-            del stack[depth:]
+            stack.cut(depth)
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -134,23 +201,13 @@ def page_blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
             continue
         if tag in BLOCKS:
             flush()
-            if stack and stack[-1][0] == "p":
-                stack.pop()
-            elif any(s[0] == "p" for s in stack):
-                depth = max(k for k, s in enumerate(stack) if s[0] == "p")
-                if not any(s[3] for s in stack[depth + 1:]):
-                    del stack[depth:]
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in _WITHIN.get(tag, ()):
-                    break
-                if stack[k][0] in _CLOSES.get(tag, ()):
-                    del stack[k:]
-        name, aside = _described(tag, attributes)
+            stack.make_room(tag)
+        name, aside = _described(tag, attributes, stack.articles > 0)
         if tag in BLOCKS or aside or attributes.strip():
             if not attributes.endswith("/") or tag in BLOCKS:
                 if aside and tag not in BLOCKS:
                     flush()
-                stack.append((tag, name, aside, tag in BLOCKS or aside))
+                stack.push(tag, name, aside, tag in BLOCKS or aside)
     flush()
     return out
 

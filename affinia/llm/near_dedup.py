@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from affinia.llm import graph
 from affinia.llm.hashing import LOWER, M1, STEP, mix, shingle_sets, word_hashes
-from affinia.llm.tables import blocks, utf8, written
+from affinia.llm.tables import blocks, free_name, row_key, utf8, written
+from affinia.operators.sizes import broadcast_if_small
 
 BASE = 1.02
 BANDS, ROWS = 32, 5
@@ -307,10 +308,29 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document of each group left, the one of the smallest id.
+    """The rows of ``docs`` with one row of each group of near duplicates left.
 
-    Of several rows with one id, one is left; rows without an id all stay.
+    Rows are judged by their own text, whatever their id: rows of one id with unlike texts
+    both stay, and rows without an id are compared as any other. Of a group the row of the
+    smallest id stays (rows without one come last); of exact repeats of that row, one.
+    Texts without a word all stay.
+
+    Only the keys of the rows that go travel, so that texts are not shuffled where the
+    measured size of the keys allows a broadcast.
     """
-    kept = near_duplicates(docs, shingle=shingle, percent=percent).where("kept and doc_id is not null")
-    named = docs.where("doc_id is not null").join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    found = near_duplicates(keyed, id_col=key, shingle=shingle, percent=percent).where("n_shingles > 0")
+    found = written(found.select(F.col("doc_id").alias(key), "component_id"), "groups")
+    grouped = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    crowded = found.join(grouped, "component_id", "left_semi")
+    ids = keyed.select(key, "doc_id").join(crowded.select(key).distinct(), key, "left_semi").distinct()
+    first = crowded.join(ids, key).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key))[key].alias("first"))
+    stay = first.select(F.col("first").alias(key))
+    gone = written(crowded.select(key).distinct().join(stay, key, "left_anti"), "near-copies")
+    repeated = written(found.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeats")
+    left = keyed.join(broadcast_if_small(gone), key, "left_anti")
+    again = broadcast_if_small(repeated)
+    once = left.join(again, key, "left_anti")
+    return once.unionByName(left.join(again, key, "left_semi").dropDuplicates([key])).select(*docs.columns)

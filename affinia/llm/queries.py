@@ -114,31 +114,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-_SEED_SQL = " union all ".join(
-    "select {id}, i, %d k, [%s] seed from (select {id}, w, unnest(range(0, len(w) - %d, {step})) i from {t} where len(w) >= %d)"
-    % (n, ", ".join(f"w[i + {o + 1}]" for o in mask), decontaminate.SPAN - 1, decontaminate.SPAN)
-    for n, mask in enumerate(decontaminate.MASKS))
-
-OP6_SQL = f"""
+# Every shift at which a document and an item have words in common, without any seeds.
+OP6_SQL = """
 with d as (
-  select doc_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
+  select doc_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '),
     lambda x: x <> '') w from documents),
 b as (
-  select item_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
-    lambda x: x <> '') w from benchmark),
-train as ({_SEED_SQL.format(id="doc_id", step=decontaminate.STEP, t="d")}),
-test as ({_SEED_SQL.format(id="item_id", step=1, t="b")}),
-hits as (select distinct doc_id, item_id, train.i - test.i shift from train join test using (k, seed)),
-aligned as (
-  select doc_id, item_id, list_transform(b.w, lambda x, i: case when i + shift between 1 and len(d.w)
-    and d.w[i + shift] = x then 1 else 0 end) same
-  from hits join d using (doc_id) join b using (item_id)),
+  select distinct item_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '),
+    lambda x: x <> '') w from benchmark where item_id is not null),
+dp as (select doc_id, unnest(w) x, unnest(range(len(w))) i from d),
+bp as (select item_id, len(w) n, unnest(w) x, unnest(range(len(w))) j from b),
+shifted as (
+  select doc_id, item_id, n, i - j shift, list(j) js, count(*) matched from dp join bp using (x) group by all
+  having count(*) >= (case when n >= 13 then 11 else n end)),
 scored as (
-  select doc_id, item_id, list_sum(same) matched,
-    list_max(list_transform(range(0, greatest(len(same) - 13, 0) + 1), lambda s: list_sum(same[s + 1:s + 13]))) best,
-    case when len(same) >= 13 then 11 else len(same) end least from aligned),
+  select *, list_max(list_transform(range(0, greatest(n - 13, 0) + 1),
+    lambda s: len(list_filter(js, lambda j: j >= s and j < s + 13)))) best from shifted),
 found as (
-  select doc_id, item_id, max(struct_pack(matched := matched, best := best)) m from scored where best >= least group by all)
+  select doc_id, item_id, max(struct_pack(matched := matched, best := best)) m from scored
+  where best >= (case when n >= 13 then 11 else n end) group by all)
 select doc_id, item_id, m.matched::bigint matched, m.best::bigint best from found
 """
 

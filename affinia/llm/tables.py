@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.session import scratch_path
@@ -23,6 +23,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name in df.columns:
+        name = f"{name}_"
+    return name
+
+
+def row_key(*columns: str) -> Column:
+    """Tells rows apart by these columns, so that a null or repeated id does no harm."""
+    return F.xxhash64(*[F.col(c) for c in columns])
+
+
 #: Bits of a filter of 64-bit hashes; a fixed size, whatever the input.
 FILTER_BITS = 1 << 26
 

@@ -11,6 +11,8 @@ piece finds by its length and its rank among the pieces of that length.
 from __future__ import annotations
 
 import bisect
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -52,7 +54,12 @@ class _Chunks(dict):
             from tokenizers import Tokenizer
 
             self.whole = Tokenizer.from_file(path)
-            self.whole.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            # What the tokenizer takes as one id wherever it stands in a text, such as <|endoftext|>.
+            self.special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"] if not t["normalized"]}
+
+    def has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
 
     def encode(self, text: str) -> bytes:
         ids = self.fast.encode_ordinary(text) if self.fast else self.whole.encode(text, add_special_tokens=False).ids
@@ -97,6 +104,14 @@ def _chunks(path: str) -> _Chunks:
 
 def token_bytes(text: str, memo: _Chunks) -> bytes:
     """The ids of a whole text as little-endian 32-bit bytes."""
+    if memo.has_special(text):
+        parts = re.split("(" + "|".join(map(re.escape, sorted(memo.special, key=len, reverse=True))) + ")", text)
+        return b"".join(
+            memo.special[p].to_bytes(4, "little") if p in memo.special else _plain_bytes(p, memo) for p in parts if p)
+    return _plain_bytes(text, memo)
+
+
+def _plain_bytes(text: str, memo: _Chunks) -> bytes:
     words = text.split(" ")
     # A space beside other white space belongs to a run that the pattern treats as one.
     joined, out = [words[0]], []
@@ -113,7 +128,7 @@ def token_bytes(text: str, memo: _Chunks) -> bytes:
 def _fast_bytes(text: str, memo: _Chunks) -> bytes:
     if not text:
         return b""
-    if "  " in text or text[0] == " " or text[-1] == " " or not _plain(text):
+    if "  " in text or text[0] == " " or text[-1] == " " or not _plain(text) or memo.has_special(text):
         return token_bytes(text, memo)
     first, _, rest = text.partition(" ")
     if not rest:

@@ -330,9 +330,9 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(packing.tokenizer_path())
-    own.encode_special_tokens = True
     texts = ["", None, "a", "  a  b \n c", "x \n\ny", "é b c", "a　 b", "don't we'll  I'm", "a\0b c", "<|endoftext|> hi", "x\x1c y z",
-             "word " * 5000, *[t for (t,) in duckdb.sql(f"select text from '{SF}/documents.parquet' limit 60").fetchall()]]
+             "a<|endoftext|>b <|endoftext|><|endoftext|>  c <|endoftext |>", "<|endoftext|>", " <|endoftext|> " * 900,
+             "word " * 5000, *[t for (t,) in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()]]
     got = packing.pack(frame(spark, list(enumerate(texts)))).collect()
     pieces = defaultdict(list)
     for r in got:

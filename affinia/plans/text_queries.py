@@ -9,10 +9,12 @@ from affinia.functions import keys, scores, text
 from affinia.operators import cooccurrence as C
 from affinia.operators import dictionary as D
 from affinia.operators import documents as O
+from affinia.operators import vocabulary as VO
 from affinia.operators.sizes import spread
 from affinia.plans import views as V
 from affinia.plans.registry import query, rounded, stamp
 from affinia.plans.views import sql
+from affinia.session import cut_lineage
 
 RESERVED_SQL = "'" + text.prefix_pattern(text.RESERVED) + "'"
 STOP_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in text.STOPWORDS) + ")"
@@ -22,6 +24,11 @@ def digest(column) -> F.Column:
     return F.md5(F.array_join(column, " "))
 
 
+def tokenised(spark, sf) -> DataFrame:
+    """The documents' tokens, for queries that read them for a dictionary and again for what is looked up in it."""
+    return cut_lineage(V.docs(spark, sf))
+
+
 def dictionary(spark, sf) -> DataFrame:
     return D.token_dictionary(V.docs(spark, sf))
 
@@ -293,7 +300,7 @@ def _link_docs(spark, sf) -> DataFrame:
     """Pages with their links and tokens, keyed by url."""
     raw = spread(V.table(spark, sf, "pages").select("url", "html"))
     tokens = raw.select("url", text.simple_tokenize(F.col("html")).alias("tokens"))
-    return V.links(spark, sf).join(tokens, "url")
+    return cut_lineage(V.links(spark, sf).join(tokens, "url"))
 
 
 PAGE_TOKENS_SQL = (
@@ -311,7 +318,7 @@ def _(spark, sf):
     """The known tokens in order; hashed buckets have no SQL form and are left out of the digest."""
     docs = _link_docs(spark, sf)
     d = D.token_dictionary(docs)
-    sparse = O.txt2url(docs, d, D.title_dictionary(docs, 1))
+    sparse = VO.txt2url(docs, d, D.title_dictionary(docs, 1))
     size = d.count()
     kept = F.filter("token_index", lambda i: i <= size)
     return sparse.select("url", "primary_index", F.md5(F.array_join(kept, " ")).alias("known_md5"))
@@ -320,7 +327,7 @@ def _(spark, sf):
 @query("DOC-03_txt2url_hashed")
 def _(spark, sf):
     docs = _link_docs(spark, sf)
-    return O.txt2url(docs, D.token_dictionary(docs), D.title_dictionary(docs, 1))
+    return VO.txt2url(docs, D.token_dictionary(docs), D.title_dictionary(docs, 1))
 
 
 @query("DOC-04_url2url", sql("tdict", (
@@ -351,8 +358,8 @@ TFIDF_SQL = (
     ' SELECT doc_id, idx AS "index", round(CASE WHEN sum(x * x) OVER w > 0 THEN x / sqrt(sum(x * x) OVER w) ELSE 0 END, 6) AS weight '
     "FROM raw WINDOW w AS (PARTITION BY doc_id)"))
 def _(spark, sf):
-    docs = V.docs(spark, sf)
-    return O.tfidf(docs, D.token_dictionary(docs)).select("doc_id", "index", rounded("weight").alias("weight"))
+    docs = tokenised(spark, sf)
+    return VO.tfidf(docs, D.token_dictionary(docs)).select("doc_id", "index", rounded("weight").alias("weight"))
 
 
 @query("AGG-13_l2_norm", sql("dict", (
@@ -367,7 +374,7 @@ def _(spark, sf):
 @query("DOC-06_sentence_examples")
 def _(spark, sf):
     docs = _link_docs(spark, sf)
-    sparse = O.txt2url(docs, D.token_dictionary(docs), D.title_dictionary(docs, 1))
+    sparse = VO.txt2url(docs, D.token_dictionary(docs), D.title_dictionary(docs, 1))
     return O.sentence_examples(sparse)
 
 
@@ -403,10 +410,9 @@ COO = sql("dict", "SELECT 0").replace(" SELECT 0", COO_SQL)
 
 def triples(spark, sf):
     """Co-occurrence of dictionary tokens; unknown ones keep their place in the window."""
-    docs = V.docs(spark, sf)
+    docs = tokenised(spark, sf)
     d = D.token_dictionary(docs)
-    size = d.count()
-    return C.token_cooccurrence(docs, d).where(F.col("i") <= size), d
+    return VO.token_cooccurrence(docs, d, hashed=False), d
 
 
 @query("COO-01_token_cooccurrence", COO + " SELECT i, j, round(x, 6) AS x FROM coo")
@@ -418,8 +424,8 @@ def _(spark, sf):
 
 @query("COO-01_token_cooccurrence_hashed")
 def _(spark, sf):
-    docs = V.docs(spark, sf)
-    return C.token_cooccurrence(docs, D.token_dictionary(docs))
+    docs = tokenised(spark, sf)
+    return VO.token_cooccurrence(docs, D.token_dictionary(docs))
 
 
 @query("AGG-03_cooccurrence_sum", COO + " SELECT i, count(*) AS partners, round(sum(x), 6) AS total FROM coo GROUP BY i")

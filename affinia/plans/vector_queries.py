@@ -598,30 +598,62 @@ def _(spark, sf):
     return out.select("pl", *[rounded(c).alias(c) for c in ("track_recall", "artist_recall", "distinct_track_recall")])
 
 
-@query("EVAL-03_playlist_loss")
+LOSS_SQL = AFF_SQL.split(", kinds AS")[0] + (
+    ", tn AS (SELECT count(*) AS n FROM part), "
+    "mem AS (SELECT pl, 'pos' AS kind, tr.album_idx, tr.artist_idx FROM ex JOIN tr USING (track_idx) WHERE pos >= 5 "
+    "UNION ALL SELECT pl, 'neg', tr.album_idx, tr.artist_idx FROM (SELECT DISTINCT pl, unnest(range(0, 16)) AS slot FROM ex) "
+    "JOIN tn ON true JOIN tr ON track_idx = 1 + (pl * 31 + slot * 17) % n "
+    "UNION ALL SELECT pl, 'context', album_idx, artist_idx FROM ex WHERE pos < 5), "
+    "kind AS (SELECT pl, kind, album_idx AS al, artist_idx AS ar, count(*) AS c FROM mem GROUP BY 1, 2, 3, 4), "
+    "dots AS (SELECT a.pl, a.kind, a.c * b.c AS c, ga.d + gr.d AS s FROM kind a JOIN kind b ON a.pl = b.pl AND a.kind = b.kind "
+    "JOIN g ga ON ga.p = a.al % 100 AND ga.q = b.al % 100 JOIN g gr ON gr.p = a.ar AND gr.q = b.ar), "
+    "selves AS (SELECT pl, kind, sum(c * greatest(0, CASE WHEN kind = 'neg' THEN s ELSE 0.5 - s END)) / sum(c) AS v FROM dots GROUP BY 1, 2), "
+    "aff AS (SELECT m.pl, m.kind, m.c, m.al, m.ar, max(ga.d + gr.d) + 0.1 * max((x.al = m.al)::INT) + 0.1 * max((x.ar = m.ar)::INT) AS s "
+    "FROM kind m JOIN kind x ON x.pl = m.pl AND x.kind = 'context' AND m.kind <> 'context' "
+    "JOIN g ga ON ga.p = x.al % 100 AND ga.q = m.al % 100 JOIN g gr ON gr.p = x.ar AND gr.q = m.ar GROUP BY 1, 2, 3, 4, 5), "
+    "sums AS (SELECT pl, sum(c * s) FILTER (WHERE kind = 'pos') / sum(c) FILTER (WHERE kind = 'pos') AS gm, "
+    "sum(c * s) FILTER (WHERE kind = 'neg') / sum(c) FILTER (WHERE kind = 'neg') AS bm, min(s) FILTER (WHERE kind = 'pos') AS gl, "
+    "max(s) FILTER (WHERE kind = 'neg') AS bh FROM aff GROUP BY 1), "
+    "ex2 AS (SELECT pl, sum(c * greatest(0, sqrt(greatest(0, ga.d + gr.d)) - 1.2)) AS e FROM kind JOIN g ga ON ga.p = al % 100 AND ga.q = al % 100 "
+    "JOIN g gr ON gr.p = ar AND gr.q = ar GROUP BY 1), "
+    "t AS (SELECT pl, greatest(0, 1 + bm - gm) AS mean_triplet, greatest(0, 1 + bh - gl) AS extremal_triplet, "
+    "any_value(v) FILTER (WHERE kind = 'context') AS context_self, any_value(v) FILTER (WHERE kind = 'pos') AS next_self, "
+    "any_value(v) FILTER (WHERE kind = 'neg') AS negative_self, any_value(e) AS norm_excess FROM sums JOIN selves USING (pl) JOIN ex2 USING (pl) GROUP BY pl, gm, bm, gl, bh)"
+)
+
+
+@query("EVAL-03_playlist_loss", with_sql("pls vecs", LOSS_SQL) + "SELECT pl, " + ", ".join(
+    f"round({t}, 6) AS {t}" for t in P.LOSS_TERMS) + ", round(" + " + ".join(P.LOSS_TERMS) + ", 6) AS loss FROM t")
 def _(spark, sf):
-    return P.playlist_loss(loss_rows(spark, sf))
+    """Sixteen negatives per playlist, taken from the tracks by a fixed rule."""
+    vecs = V.vecs(spark, sf)
+    listed = cut_lineage(V.playlists(spark, sf))
+    rows = cut_lineage(examples(spark, sf, listed))
+    vectors = cut_lineage(corpus(spark, sf, listed).select("track_idx", "album_idx", "artist_idx", "vec"))
+    contexts = P.context_vectors(rows, vecs, vecs, "pl", 100).where(F.col("chunk") == 0)
+    n = V.table(spark, sf, "part").count()
+    nexts = rows.select("pl", "chunk", F.posexplode("next_track").alias("at", "track_idx")).select(
+        "pl", F.lit("pos").alias("kind"), (F.col("chunk") * 10_000 + F.col("at")).alias("at"), "track_idx")
+    slots = rows.where(F.col("chunk") == 0).select("pl", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("at"))
+    fixed = slots.select("pl", F.lit("neg").alias("kind"), F.col("at").cast("bigint").alias("at"),
+                         (1 + (F.col("pl") * 31 + F.col("at") * 17) % n).alias("track_idx"))
+    members = nexts.unionByName(fixed).join(vectors, "track_idx")
+    out = P.set_losses(contexts, members, bound=1.2)
+    return out.select("pl", *[rounded(t).alias(t) for t in (*P.LOSS_TERMS, "loss")])
 
 
-def loss_rows(spark, sf) -> DataFrame:
-    """Examples with the vectors and affinities of next tracks and of drawn negatives."""
+@query("EVAL-03_playlist_loss_drawn")
+def _(spark, sf):
+    """With negatives drawn by hash."""
     vecs = V.vecs(spark, sf)
-    listed = V.playlists(spark, sf)
-    rows = cut_lineage(P.context_vectors(examples(spark, sf, listed), vecs, vecs, "pl", 100))
-    tracks = cut_lineage(corpus(spark, sf, listed))
-    context = rows.where(F.col("chunk") == 0).select("pl", "context_vecs", "album_context", "artist_context")
-    vectors = tracks.select("track_idx", "album_idx", "artist_idx", "vec")
-    # Negatives go with the first row of a playlist; further rows only have more next tracks.
-    nexts = rows.select("pl", F.explode("next_track").alias("track_idx")).join(vectors, "track_idx")
-    drawn = SA.uniform_negatives(context, vectors, 16)
-    out = context.select("pl", "context_vecs")
-    for name, found in (("pos", nexts), ("neg", drawn)):
-        scored = found.join(context, "pl").withColumn("s", P.context_affinity(found))
-        grouped = scored.groupBy("pl").agg(
-            F.collect_list("s").alias(f"{name}_affinity"), F.collect_list("vec").alias(f"{name}_vecs")
-        )
-        out = out.join(grouped, "pl")
-    return out
+    listed = cut_lineage(V.playlists(spark, sf))
+    rows = cut_lineage(examples(spark, sf, listed))
+    vectors = cut_lineage(corpus(spark, sf, listed).select("track_idx", "album_idx", "artist_idx", "vec"))
+    contexts = P.context_vectors(rows, vecs, vecs, "pl", 100).where(F.col("chunk") == 0)
+    nexts = rows.select("pl", "chunk", F.posexplode("next_track").alias("at", "track_idx")).select(
+        "pl", F.lit("pos").alias("kind"), (F.col("chunk") * 10_000 + F.col("at")).alias("at"), "track_idx").join(vectors, "track_idx")
+    drawn = SA.uniform_negatives(contexts.select("pl"), vectors, 16).withColumn("kind", F.lit("neg")).withColumn("at", F.col("slot").cast("bigint"))
+    return P.set_losses(contexts, nexts.unionByName(drawn.select(*nexts.columns)))
 
 
 # ---- sampling ------------------------------------------------------------------------------

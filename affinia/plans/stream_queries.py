@@ -110,16 +110,34 @@ def _(spark, sf):
     return LB.contains(ST.merged_bloom(spark, out, RATE), asked, "key")
 
 
-@query("STR-07_stream_outcome_join", sql("views", (
-    "SELECT p.event_id, " + STAMP.format("o.ts") + " AS outcome FROM views p JOIN views o ON o.event_type = 'purchase' AND o.u = p.u AND o.item = p.item "
-    "AND o.ts BETWEEN p.ts AND p.ts + INTERVAL 2 DAY WHERE p.event_type = 'view'")))
+# A view without an outcome is final once the watermark of both sides is past its two days.
+OUTCOME_SQL = (
+    ", w AS (SELECT least(max(ts) FILTER (WHERE event_type = 'view'), max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 1 HOUR AS w FROM views), "
+    "m AS (SELECT p.event_id, p.ts, o.ts AS outcome FROM views p LEFT JOIN views o ON o.event_type = 'purchase' AND o.u = p.u AND o.item = p.item "
+    "AND o.ts BETWEEN p.ts AND p.ts + INTERVAL 2 DAY WHERE p.event_type = 'view') "
+)
+
+
+@query("STR-07_stream_outcome_join", sql("views", "SELECT 0").replace(" SELECT 0", OUTCOME_SQL) + (
+    "SELECT event_id, " + STAMP.format("outcome") + " AS outcome FROM m, w WHERE outcome IS NOT NULL OR ts + INTERVAL 2 DAY < w"))
 def _(spark, sf):
-    """Views with the purchases that followed within two days."""
+    """Views with the purchases that followed within two days, and those that none followed."""
     events = event_stream(spark, sf)
     preds = events.where(F.col("event_type") == "view").select("event_id", "user", "item", "ts")
-    outcomes = event_stream(spark, sf).where(F.col("event_type") == "purchase").select("user", "item", "ts")
+    outcomes = events.where(F.col("event_type") == "purchase").select("user", "item", "ts")
     rows = finished(spark, ST.stream_outcome_join(preds, outcomes, "2 days"))
-    return rows.where(F.col("outcome_ts").isNotNull()).select("event_id", stamp("outcome_ts").alias("outcome"))
+    return rows.select("event_id", stamp("outcome_ts").alias("outcome"))
+
+
+@query("STR-07_outcome_rates", sql("views", "SELECT 0").replace(" SELECT 0", OUTCOME_SQL) + (
+    ", f AS (SELECT event_id, any_value(ts) AS ts, count(outcome) AS n FROM m, w WHERE outcome IS NOT NULL OR ts + INTERVAL 2 DAY < w GROUP BY 1) "
+    "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS views, count(*) FILTER (WHERE n > 0) AS followed, CAST(sum(n) AS BIGINT) AS outcomes FROM f GROUP BY 1"))
+def _(spark, sf):
+    """Per day, how many settled views an outcome followed."""
+    events = event_stream(spark, sf)
+    preds = events.where(F.col("event_type") == "view").select("event_id", "user", "item", "ts")
+    outcomes = events.where(F.col("event_type") == "purchase").select("user", "item", "ts")
+    return ST.outcome_rates(finished(spark, ST.stream_outcome_join(preds, outcomes, "2 days")), "event_id")
 
 
 @query("STR-08_stream_score_drift", sql("views", (

@@ -69,6 +69,18 @@ def stream_outcome_join(preds: DataFrame, outcomes: DataFrame, bound: str, delay
     return left.join(right, near, "left_outer").drop("_u", "_i")
 
 
+def outcome_rates(joined: DataFrame, key: str) -> DataFrame:
+    """(day, views, followed, outcomes) of settled predictions, each counted once however many outcomes it has."""
+    each = joined.groupBy(key).agg(F.min("ts").alias("ts"), F.count("outcome_ts").alias("n"))
+    return each.groupBy(F.to_date("ts").cast("string").alias("day")).agg(
+        F.count("*").alias("views"), F.count_if(F.col("n") > 0).alias("followed"), F.sum("n").alias("outcomes"))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them, over the batches the query still knows of."""
+    return sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
+
+
 def feature_table(spark: SparkSession, path: str, schema: str | StructType, key: str, ts: str = "ts") -> StateTable:
     """The latest feature row per key; a row with a true ``deleted`` column takes its key out."""
     return StateTable(spark, path, schema, [key], latest_by([key], ts))

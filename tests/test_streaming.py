@@ -109,3 +109,23 @@ def test_outcome_beyond_the_bound_does_not_count(spark, tmp_path):
     append_to(ST.stream_outcome_join(preds, outcomes, "2 hours", "1 hour"), out, str(tmp_path / "cp")).awaitTermination()
     got = {r["event_id"]: r["outcome_ts"] for r in spark.read.parquet(out).collect()}
     assert got[0] == T0 + timedelta(minutes=30) and got[1] is None
+
+
+def test_late_outcomes_are_counted_and_unmatched_predictions_come_once(spark, tmp_path):
+    views = write_in_order(spark, str(tmp_path / "v"), [[event(0, 0), event(1, 0, 2)], [event(9, 10_000, 7)], [event(10, 20_000, 7)], [event(11, 20_001, 7)]])
+    buys = write_in_order(spark, str(tmp_path / "b"), [
+        [event(2, 30, 1, 1, "purchase")], [event(8, 10_000, 8, 1, "purchase")], [event(6, 20_000, 8)],
+        [event(3, 40, 2, 1, "purchase"), event(7, 20_002, 8)]])
+    preds = io.read_event_stream(spark, views, SCHEMA, 1).select("event_id", "user", "item", "ts")
+    outcomes = io.read_event_stream(spark, buys, SCHEMA, 1).select("user", "item", "ts")
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    joined = ST.stream_outcome_join(preds, outcomes, "2 hours", "1 hour")
+    query = append_to(joined, out, cp)
+    query.awaitTermination()
+    assert ST.late_rows(query) == 1
+    append_to(joined, out, cp).awaitTermination()  # a restart repeats nothing
+    got = sorted((r["event_id"], r["outcome_ts"]) for r in spark.read.parquet(out).collect())
+    assert got[:2] == [(0, T0 + timedelta(minutes=30)), (1, None)]
+    assert len({e for e, _ in got}) == len(got)
+    rates = ST.outcome_rates(spark.read.parquet(out), "event_id").orderBy("day").first()
+    assert (rates["views"], rates["followed"], rates["outcomes"]) == (2, 1, 1)

@@ -21,14 +21,14 @@ def _earlier():
 
 
 def sorted_parts(df: DataFrame, *order: Column) -> DataFrame:
-    """Rows in global order, with ``_part`` and ``_place``."""
-    placed = df.orderBy(*order).withColumn("_part", F.spark_partition_id())
+    """Rows in global order (without ``order``, in the one they have), with ``_part`` and ``_place``."""
+    placed = (df.orderBy(*order) if order else df).withColumn("_part", F.spark_partition_id())
     first = F.shiftleft(F.col("_part").cast("bigint"), 33)
     return cut_lineage(placed.withColumn("_place", F.monotonically_increasing_id() - first))
 
 
 def dense_index(df: DataFrame, *order: Column, name: str = "index") -> DataFrame:
-    """Number rows 0..n-1 in the given total order."""
+    """Number rows 0..n-1 in the given total order, or in the order that the rows already have."""
     placed = sorted_parts(df, *order)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     starts = sizes.select("_part", F.coalesce(F.sum("_size").over(_earlier()), F.lit(0)).alias("_start"))

@@ -229,8 +229,3 @@ def lag_context(events: DataFrame, n: int) -> DataFrame:
     return joined.withColumn(
         "weights", F.transform("context", lambda _, age: F.lit(1.0) / (age + 1))
     ).drop("_at", "_got")
-
-
-def user_item_matrix(ratings: DataFrame, items: list) -> DataFrame:
-    """One row per user, one column per listed item; the full matrix stays in triples."""
-    return ratings.where(F.col("item").isin(items)).groupBy("user").pivot("item", items).agg(F.max("rating"))

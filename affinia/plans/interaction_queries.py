@@ -15,6 +15,7 @@ from affinia.operators import recommend as R
 from affinia.operators import retrieval as RT
 from affinia.operators import sampling as SA
 from affinia.operators import similarity as S
+from affinia.operators import sparse_rows as SR
 from affinia.operators import models as M
 from affinia.operators.factor_search import best_unseen
 from affinia.operators.indexing import dense_index, place_in_group, top_per_group
@@ -68,9 +69,14 @@ def _(spark, sf):
     return I.trivial(V.items(spark, sf), 7)
 
 
-@query("SRT-05_order_views", sql("views", 'SELECT u AS "user", item, count(DISTINCT event_id) AS count_views FROM views GROUP BY 1, 2'))
+@query("SRT-05_order_views", sql("views", (
+    'SELECT *, rank() OVER (ORDER BY count_views DESC, "user") - 1 AS place FROM '
+    '(SELECT u AS "user", item, count(DISTINCT event_id) AS count_views FROM views GROUP BY 1, 2)')))
 def _(spark, sf):
-    return I.order_views(I.view_counts(V.views(spark, sf)))
+    """With the first place at which a row of its count and user came out."""
+    placed = cut_lineage(dense_index(I.order_views(I.view_counts(V.views(spark, sf))), name="at"))
+    first = placed.groupBy("user", "count_views").agg(F.min("at").alias("place"))
+    return placed.drop("at").join(first, ["user", "count_views"])
 
 
 @query("WIN-07_rank_items", sql("views", (
@@ -448,15 +454,37 @@ def _(spark, sf):
 
 
 @query("SIM-05_user_item_matrix", sql("latest", (
-    ", pop AS (SELECT item, row_number() OVER (ORDER BY count(*) DESC, item) AS rk FROM latest GROUP BY 1) "
-    'SELECT u AS "user", ' + ", ".join(f"max(rating) FILTER (WHERE rk = {i}) AS i{i}" for i in range(1, 21))
-    + " FROM latest JOIN pop USING (item) WHERE rk <= 20 GROUP BY 1")).replace(") ,", "),", 1))
+    'SELECT u AS "user", count(*) AS items, round(sum(rating), 6) AS total, md5(string_agg(item || \':\' || rating, \',\' ORDER BY item)) AS cells FROM latest GROUP BY 1')))
 def _(spark, sf):
-    """The columns of the twenty most rated items, by rank."""
-    rows = latest(spark, sf)
-    best = I.rank_items(rows).where(F.col("rank") <= 20).select("item", "rank")
-    wide = I.user_item_matrix(rows.join(best, "item").drop("item").withColumnRenamed("rank", "item"), list(range(1, 21)))
-    return wide.select("user", *[F.col(f"`{i}`").alias(f"i{i}") for i in range(1, 21)])
+    """The whole matrix, every user and every item, from its compressed rows."""
+    return _row_digests(SR.unpack(_matrix(spark, sf).chunks), "user", "items")
+
+
+@query("SIM-05_item_user_matrix", sql("latest", (
+    "SELECT item, count(*) AS users, round(sum(rating), 6) AS total, md5(string_agg(u || ':' || rating, ',' ORDER BY u)) AS cells FROM latest GROUP BY 1")))
+def _(spark, sf):
+    """The matrix transposed."""
+    return _row_digests(SR.unpack(SR.transpose(_matrix(spark, sf), 4096).chunks), "item", "users")
+
+
+@query("SIM-05_rows_of_users", sql("latest users", (
+    'SELECT u AS "user", item, rating FROM latest JOIN users USING (u) WHERE segment = \'BUILDING\'')))
+def _(spark, sf):
+    """The rows of one segment's users, read from the chunks that hold them."""
+    wanted = V.users(spark, sf).where(F.col("segment") == "BUILDING").select("user")
+    found = SR.read_rows(_matrix(spark, sf), wanted, "user")
+    return found.select(F.col("row").alias("user"), F.col("column").alias("item"), F.col("value").alias("rating"))
+
+
+def _matrix(spark, sf) -> SR.SparseRows:
+    return SR.build(latest(spark, sf), "user", "item", "rating", 4096)
+
+
+def _row_digests(cells: DataFrame, row: str, counted: str) -> DataFrame:
+    entry = F.concat_ws(":", "column", "value")
+    return cells.groupBy(F.col("row").alias(row)).agg(
+        F.count("*").alias(counted), rounded(F.sum("value")).alias("total"),
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column", entry.alias("e")))), lambda s: s["e"]), ",")).alias("cells"))
 
 
 @query("JOIN-07_corated_self_join", sql("sums", 'SELECT l AS "left", r AS "right", n FROM sums'))
@@ -602,6 +630,21 @@ def _(spark, sf):
     return _cf(rows, S.nearest_entities(rows, 5, swap=True), "item")
 
 
+@query("SMP-08_neighbour_random_counts", NEAR + (
+    ", found AS (SELECT DISTINCT e AS u, l.item FROM near JOIN latest l ON l.u = nb WHERE l.rating >= 4 "
+    "AND NOT EXISTS (SELECT 1 FROM latest x WHERE x.u = e AND x.item = l.item)) "
+    'SELECT u AS "user", least(3, count(*)) AS drawn, 0 AS strange FROM found GROUP BY 1'))
+def _(spark, sf):
+    """Whatever is drawn: three of what the neighbourhood liked and the user has not rated, or all there are."""
+    rows = latest_once(spark, sf)
+    near = cut_lineage(S.nearest_entities(rows, 5))
+    liked = rows.where(F.col("rating") >= 4).select(F.col("user").alias("neighbour"), "item")
+    allowed = near.join(liked, "neighbour").select(F.col("entity").alias("user"), "item").distinct()
+    allowed = S.unseen_items(allowed, rows).withColumn("known", F.lit(1))
+    drawn = S.neighbour_random(rows, near).join(allowed, ["user", "item"], "left")
+    return drawn.groupBy("user").agg(F.count_distinct("item").alias("drawn"), F.count_if(F.col("known").isNull()).alias("strange"))
+
+
 @query("SMP-08_neighbour_random")
 def _(spark, sf):
     rows = latest_once(spark, sf)

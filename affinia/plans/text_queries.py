@@ -238,7 +238,9 @@ def _(spark, sf):
     return d.select("token", rounded(scores.idf(top, F.col("doc_frequency"))).alias("idf"))
 
 
-@query("JOIN-01_lookup_token_index", sql("dict", "SELECT token, idx + 1 AS embedding FROM terms JOIN dict USING (token)"))
+@query("JOIN-01_lookup_token_index", sql("docs", (
+    ", f AS (SELECT token, count(*) AS frequency FROM (SELECT unnest(tokens) AS token FROM docs) GROUP BY token) "
+    "SELECT token, row_number() OVER (ORDER BY frequency DESC, token) AS embedding FROM f WHERE frequency >= 20")).replace(") ,", "),", 1))
 def _(spark, sf):
     """All terms are looked up; the rows with a hashed bucket have no SQL form and are left out."""
     d, size = known(spark, sf)
@@ -371,6 +373,19 @@ def _(spark, sf):
     return O.l2_norm(counts, "doc_id").select("doc_id", rounded("norm").alias("norm"))
 
 
+@query("DOC-06_fragments_per_document", sql("tdict", "SELECT 0").replace(" SELECT 0", PAGE_TOKENS_SQL) + (
+    " SELECT url, CASE WHEN len(tokens) > 64 THEN 8 ELSE 1 END AS pieces, 64 AS length, 0 AS strange FROM pt JOIN tdict t ON t.token = url WHERE len(tokens) > 0"))
+def _(spark, sf):
+    """Whatever offsets are drawn: eight fragments of a long document, one of others, each a run of its own tokens."""
+    docs = _link_docs(spark, sf)
+    sparse = cut_lineage(VO.txt2url(docs, D.token_dictionary(docs), D.title_dictionary(docs, 1)))
+    found = O.sentence_examples(sparse).join(sparse.select("url", "token_index"), "url")
+    run = F.concat(F.lit(","), F.array_join(F.filter("tokens", lambda t: t > 0), ","), F.lit(","))
+    inside = F.contains(F.concat(F.lit(","), F.array_join("token_index", ","), F.lit(",")), run)
+    return found.groupBy("url").agg(
+        F.count("*").alias("pieces"), F.max(F.size("tokens")).alias("length"), F.count_if(~inside).alias("strange"))
+
+
 @query("DOC-06_sentence_examples")
 def _(spark, sf):
     docs = _link_docs(spark, sf)

@@ -22,7 +22,7 @@ from affinia.operators import retrieval as RT
 from affinia.operators import sampling as SA
 from affinia.operators import vectors as VE
 from affinia.operators.filters import min_playlist_length
-from affinia.operators.indexing import top_per_group
+from affinia.operators.indexing import dense_index, top_per_group
 from affinia.operators.track_search import list_rows, recall_of_lists, track_lists
 from affinia.plans import views as V
 from affinia.plans.interaction_queries import score_table
@@ -220,7 +220,14 @@ def _(spark, sf):
     return E.check_schema(V.vecs(spark, sf), "id", "bigint", "vec", 64, -0.3, 0.3, 100)
 
 
-@query("FEA-04_registry_check")
+@query("FEA-04_registry_check", sql("vecs", (
+    ", b AS (SELECT greatest(0, least(19, floor((vec[1] + 1) / 2 * 20)))::INT AS o, greatest(0, least(19, floor((vec[2] + 1) / 2 * 20)))::INT AS e FROM vecs), "
+    "k AS (SELECT unnest(range(0, 20)) AS b), f AS (SELECT (SELECT count(*) FROM b WHERE o = k.b) + 1 AS o, (SELECT count(*) FROM b WHERE e = k.b) + 1 AS e FROM k), "
+    "t AS (SELECT sum(o / so * ln((o / so) / (e / se))) AS kl FROM f, (SELECT sum(o) AS so, sum(e) AS se FROM f)) "
+    "SELECT 'key_type' AS \"check\", 0 AS violations UNION ALL SELECT 'key_missing', count(*) FILTER (WHERE id IS NULL) FROM vecs UNION ALL "
+    "SELECT 'vector_missing', count(*) FILTER (WHERE vec IS NULL) FROM vecs UNION ALL SELECT 'dimension', count(*) FILTER (WHERE len(vec) <> 64) FROM vecs UNION ALL "
+    "SELECT 'component_range', count(*) FILTER (WHERE list_min(vec) < -1 OR list_max(vec) > 1) FROM vecs UNION ALL SELECT 'too_few', CASE WHEN count(vec) >= 100 THEN 0 ELSE 1 END FROM vecs UNION ALL "
+    "SELECT 'key_repeated', count(*) FROM (SELECT id FROM vecs GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'distribution', (kl > 0.5)::BIGINT FROM t")).replace("vecs AS", "vecs AS", 1).replace(") ,", "),", 1))
 def _(spark, sf):
     rows = V.vecs(spark, sf).withColumn("score", F.col("vec")[0].cast("double"))
     expected = E.binned(rows.withColumn("score", F.col("vec")[1].cast("double")), "score", -1.0, 1.0, 20)
@@ -301,14 +308,6 @@ def _(spark, sf):
     return M.item_embeddings(rows.select(F.col("_t.track_idx").alias("items")), "items", dim=8)
 
 
-@query("REC-06_fitted_embeddings")
-def _(spark, sf):
-    """The same fit with shorter vectors."""
-    pieces = V.playlists(spark, sf).withColumn("piece", F.floor(F.col("pos") / 1000))
-    rows = pieces.groupBy("pl", "piece").agg(F.array_sort(F.collect_list(F.struct("pos", "track_idx"))).alias("_t"))
-    return M.item_embeddings(rows.select(F.col("_t.track_idx").alias("items")), "items", dim=4)
-
-
 # ---- text queries ------------------------------------------------------------------------
 
 BENCH_SEP = text.SEPARATORS.replace("'", "''")
@@ -622,6 +621,18 @@ LOSS_SQL = AFF_SQL.split(", kinds AS")[0] + (
 )
 
 
+@query("JOIN-10_membership_boost", with_sql("pls", EX_SQL) + (
+    "SELECT m.pl, m.pos, bool_or(c.album_idx = m.album_idx) AS album_in_context, bool_or(c.artist_idx = m.artist_idx) AS artist_in_context, "
+    "round(0.1::DOUBLE * max((c.album_idx = m.album_idx)::INT) + 0.1::DOUBLE * max((c.artist_idx = m.artist_idx)::INT), 6) AS boost "
+    "FROM ex m JOIN ex c ON c.pl = m.pl AND c.pos < 5 AND m.pos >= 5 GROUP BY 1, 2"))
+def _(spark, sf):
+    """Every track that comes next: whether the context holds its album and its artist."""
+    listed = cut_lineage(V.playlists(spark, sf))
+    contexts = examples(spark, sf, listed).where(F.col("chunk") == 0).select("pl", "album_context", "artist_context")
+    rows = listed.where(F.col("pos") >= 5).select("pl", "pos", "album_idx", "artist_idx").join(contexts, "pl")
+    return P.membership_boost(rows).select("pl", "pos", "album_in_context", "artist_in_context", rounded("boost").alias("boost"))
+
+
 @query("EVAL-03_playlist_loss", with_sql("pls vecs", LOSS_SQL) + "SELECT pl, " + ", ".join(
     f"round({t}, 6) AS {t}" for t in P.LOSS_TERMS) + ", round(" + " + ".join(P.LOSS_TERMS) + ", 6) AS loss FROM t")
 def _(spark, sf):
@@ -658,6 +669,22 @@ def _(spark, sf):
 
 # ---- sampling ------------------------------------------------------------------------------
 
+@query("SMP-01_negatives_per_example", with_sql("pls", EX_SQL) + (
+    "SELECT pl, 64 AS negatives, 64 AS slots, 0 AS unknown, 0 AS positives FROM ex GROUP BY pl"))
+def _(spark, sf):
+    """Whatever is drawn: 64 of the catalogue per example, one per slot, and none of the example's own if those are left out."""
+    tracks = V.items(spark, sf).select(F.col("item").alias("track_idx"), "brand")
+    rows = cut_lineage(examples(spark, sf).where(F.col("chunk") == 0))
+    drawn = cut_lineage(SA.uniform_negatives(rows, tracks, 64))
+    known = drawn.join(tracks.select("track_idx", F.lit(1).alias("known")), "track_idx", "left")
+    counts = known.groupBy("pl").agg(
+        F.count("*").alias("negatives"), F.count_distinct("slot").alias("slots"), F.count_if(F.col("known").isNull()).alias("unknown"))
+    own = rows.select("pl", F.explode("next_track").alias("track_idx")).distinct()
+    clean = SA.uniform_negatives(rows, tracks, 64, positives="next_track").join(own, ["pl", "track_idx"], "left_semi")
+    return counts.join(clean.groupBy("pl").agg(F.count("*").alias("positives")), "pl", "left").withColumn(
+        "positives", F.coalesce("positives", F.lit(0)))
+
+
 @query("SMP-01_uniform_negatives")
 def _(spark, sf):
     tracks = V.items(spark, sf).select(F.col("item").alias("track_idx"), "brand")
@@ -696,6 +723,18 @@ def _(spark, sf):
     return SA.bootstrap(scene_pairs(spark, sf), F.asc("scene"), F.asc("product"))
 
 
+@query("SMP-04_bootstrap_counts", with_sql("views", PAIRS_SQL) + "SELECT count(*) AS rows, count(*) AS places, 0 AS unknown, true AS repeats FROM sp")
+def _(spark, sf):
+    """As many rows as the input, all of them of it, in places 0.., some drawn more than once."""
+    pairs = cut_lineage(scene_pairs(spark, sf))
+    drawn = cut_lineage(SA.bootstrap(pairs, F.asc("scene"), F.asc("product")))
+    unknown = drawn.join(pairs, ["scene", "product"], "left_anti").agg(F.count("*").alias("unknown"))
+    return drawn.agg(
+        F.count("*").alias("rows"), F.count_distinct("place").alias("places"),
+        (F.count_distinct("scene", "product") < F.count("*")).alias("repeats"),
+    ).withColumn("unknown", unknown.scalar())
+
+
 @query("SMP-05_shuffle_rows")
 def _(spark, sf):
     return SA.shuffle_rows(scene_pairs(spark, sf), "scene", "product")
@@ -717,6 +756,14 @@ def _(spark, sf):
     return SA.random_items(V.items(spark, sf).select("item", "category"), 100)
 
 
+@query("SMP-06_random_items_counts", sql("items", "SELECT least(100, count(*)) AS rows, least(100, count(*)) AS items, 0 AS unknown FROM items"))
+def _(spark, sf):
+    catalogue = V.items(spark, sf).select("item", "category")
+    drawn = cut_lineage(SA.random_items(catalogue, 100))
+    unknown = drawn.select("item", "category").join(catalogue, ["item", "category"], "left_anti").agg(F.count("*").alias("unknown"))
+    return drawn.agg(F.count("*").alias("rows"), F.count_distinct("item").alias("items")).withColumn("unknown", unknown.scalar())
+
+
 @query("SET-01_unique_keys", with_sql("views", PAIRS_SQL) + "SELECT scene AS key FROM sp UNION SELECT product FROM sp")
 def _(spark, sf):
     return SA.unique_keys(scene_pairs(spark, sf), "scene", "product")
@@ -733,9 +780,11 @@ def _(spark, sf):
     return found.select("url", F.explode(F.array_distinct("all")).alias("target"))
 
 
-@query("SRT-06_sorted_keys", with_sql("views", PAIRS_SQL) + "SELECT DISTINCT product AS key FROM sp ORDER BY 1")
+@query("SRT-06_sorted_keys", with_sql("views", PAIRS_SQL) + (
+    "SELECT key, row_number() OVER (ORDER BY key) - 1 AS place FROM (SELECT DISTINCT product AS key FROM sp)"))
 def _(spark, sf):
-    return SA.sorted_keys(scene_pairs(spark, sf).withColumnRenamed("product", "key"))
+    """With the place at which each key came out."""
+    return dense_index(SA.sorted_keys(scene_pairs(spark, sf).withColumnRenamed("product", "key")), name="place")
 
 
 @query("SRT-07_limit_queries", with_sql("vecs", DOT_SQL) + TOP_SQL + "10 AND query < 200")
@@ -745,6 +794,16 @@ def _(spark, sf):
     return found.select("query", "item", rounded("score").alias("score"), big())
 
 
-@query("SRT-08_max_lines", "SELECT 500 AS rows")
+@query("SRT-08_max_lines", (
+    "SELECT count(*) AS rows, count(DISTINCT event_id) AS events, 0 AS unknown FROM (SELECT * FROM events LIMIT 500) "
+    "UNION ALL SELECT count(*), count(DISTINCT event_id), 0 FROM events"))
 def _(spark, sf):
-    return SA.max_lines(V.table(spark, sf, "events"), 500).agg(F.count("*").alias("rows"))
+    """500 different rows of the table, and all of a table that has no more than asked for."""
+    events = V.table(spark, sf, "events")
+
+    def counted(n: int) -> DataFrame:
+        some = SA.max_lines(events, n)
+        known = some.join(events.select("event_id", F.lit(1).alias("known")), "event_id", "left")
+        return known.agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("events"), F.count_if(F.col("known").isNull()).alias("unknown"))
+
+    return counted(500).unionByName(counted(10_000_000))

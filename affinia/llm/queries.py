@@ -71,9 +71,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 with split as (select doc_id, text, string_split(text, chr(10)) ls from documents where length(text) > 0),
-numbered as (select doc_id, ls, unnest(range(len(ls))) i from split),
+numbered as (select doc_id, text, ls, unnest(range(len(ls))) i from split),
 masked as (
-  select doc_id, i, len(ls) = 1 alone, struct_pack(a := case when i > 0 then ls[i] end,
+  select doc_id, text, i, strlen(ls[i + 1]) size, len(ls) = 1 alone, struct_pack(a := case when i > 0 then ls[i] end,
       b := case when i + 1 < len(ls) then ls[i + 2] end, c := i > 0, d := i + 1 < len(ls)) surround,
     regexp_replace(trim(regexp_replace(ls[i + 1], '[ \\t\\r\\x0B\\f]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') m
   from numbered),
@@ -96,9 +96,17 @@ named as (
   select leaf, m, case when len(list_filter(shown, lambda t: t <> '<*>')) >= 0.7 * len(shown)
     then array_to_string(shown, ' ') else m end template from shown),
 placed as (select c.*, template from crowded c join named using (leaf, m)),
-often as (
+common as (select leaf, template from placed group by leaf, template having count(distinct text) >= 5),
+near as (
+  select text from (select distinct text, i, leaf, template, size from placed) join common using (leaf, template)
+  group by text having sum(size) > 0.5 * strlen(text)),
+counted as (
+  select leaf, template from placed where text not in (select text from near) group by leaf, template
+  having count(distinct text) >= 5),
+around as (
   select leaf, template from placed group by leaf, template
   having count(distinct surround) >= 5 and 2 * count(distinct surround) >= count(*)),
+often as (select * from counted union select * from around),
 gone as (select doc_id, list(i) g from placed join often using (leaf, template) where not alone group by doc_id)
 select d.doc_id, case when length(text) > 0 then len(string_split(text, chr(10))) else 0 end n_lines,
   coalesce(len(g), 0) n_dropped,

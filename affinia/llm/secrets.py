@@ -3,9 +3,9 @@
 Fixed patterns give the base findings. Credentials among them, labelled by kind, train
 one probabilistic automaton per kind: a prefix tree of character classes whose
 states are merged where their futures are statistically compatible (Hoeffding's bound).
-Every other token that could be a credential is then scored by the likelihood of its
-format, and those that an automaton explains much better than ordinary words do are
-reported beside the base findings.
+Every other token of a credential's characters, from the shortest that the base patterns
+take, is then scored by the likelihood of its format, and those that an automaton explains
+much better than ordinary words do are reported beside the base findings.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinia.llm.tables import written
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -28,9 +30,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: A cheap test that every text with an assignment passes.
 _MAY_ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
-#: What could be a credential: a long run of its characters with a digit in it.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What could be a credential: a run of the base patterns' characters, of their least length.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
 END = "$"
+#: Weight of the overall shares of the classes at every state, as a count of characters.
+PRIOR = 2.0
+#: Distinct tokens whose scores a task remembers.
+MEMO = 300_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -56,6 +62,9 @@ _CLASSES = str.maketrans({
     **{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}, **{c: "/" for c in "+/_.=-"}})
 
 
+SYMBOLS = (*"0agA/", END)
+
+
 class Automaton:
     """A probabilistic automaton over character classes, inferred by state merging."""
 
@@ -73,9 +82,13 @@ class Automaton:
                 at = self.next[at][c]
             self.seen[at][END] += 1
         self._merge(math.sqrt(0.5 * math.log(2 / alpha)))
+        # Smoothed at every state by how often a class occurs at all, so that no format is ruled out by one character.
+        total = {c: 1.0 + sum(s.get(c, 0) for s in self.seen) for c in SYMBOLS}
+        whole = sum(total.values())
         self.log = [
-            {c: math.log((n + 0.1) / (sum(s.values()) + 0.6)) for c, n in s.items()} for s in self.seen]
-        self.unseen = [math.log(0.1 / (sum(s.values()) + 0.6)) for s in self.seen]
+            {c: math.log((s.get(c, 0) + PRIOR * total[c] / whole) / (sum(s.values()) + PRIOR)) for c in SYMBOLS} for s in self.seen]
+        # After a character that a state does not know, the word goes on as if it began with it.
+        self.step = [{c: n.get(c, self.next[0].get(c, 0)) for c in SYMBOLS} for n in self.next]
 
     def _alike(self, a: int, b: int, bound: float) -> bool:
         stack = [(a, b)]
@@ -122,29 +135,29 @@ class Automaton:
         """Mean log-probability per character, its end included."""
         at, total = 0, 0.0
         for c in word:
-            total += self.log[at].get(c, self.unseen[at])
-            if c not in self.next[at]:
-                return -20.0
-            at = self.next[at][c]
-        return (total + self.log[at].get(END, self.unseen[at])) / (len(word) + 1)
+            total += self.log[at][c]
+            at = self.step[at][c]
+        return (total + self.log[at][END]) / (len(word) + 1)
 
 
 class Grammar:
     """An automaton per credential format, against one of ordinary tokens."""
 
-    def __init__(self, credentials: dict[str, list[str]], ordinary: list[str], margin: float = 0.5):
+    def __init__(self, credentials: dict[str, list[str]], ordinary: list[str], margin: float = 0.5, evidence: float = 14.0):
         self.formats = [Automaton([classes(t) for t in ts]) for _, ts in sorted(credentials.items()) if len(ts) >= 20]
         self.plain = Automaton([classes(t) for t in ordinary]) if len(ordinary) >= 20 else None
-        self.margin = margin
+        self.margin, self.evidence = margin, evidence
 
     def score(self, token: str) -> float:
         """How much likelier, per character, a credential's format makes the token."""
         word = classes(token)
-        best = max((f.likelihood(word) for f in self.formats), default=-20.0)
+        best = max((f.likelihood(word) for f in self.formats), default=-math.inf)
         return best - (self.plain.likelihood(word) if self.plain else -1.8)
 
     def finds(self, token: str) -> bool:
-        return bool(self.formats) and any(c.isdigit() for c in token) and self.score(token) >= self.margin
+        """Likelier by the margin per character, and by the evidence as a whole, which a short token has to make up for."""
+        score = self.score(token)
+        return score >= self.margin and score * (len(token) + 1) >= self.evidence
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +190,8 @@ def fit_grammar(docs: DataFrame, text_col: str = "text", rows: int = 8000, most:
     others = texts.select(place.alias("h")).orderBy("h").limit(rows // 2).distinct()
     wanted = F.broadcast(ids.union(others).distinct())  # at most ``rows`` numbers
     sample = texts.withColumn("h", place).join(wanted, "h", "left_semi").select("text")
-    found = sample.mapInArrow(_labelled, "kind string, token string").distinct()
+    # Written once, as each kind is read from it.
+    found = written(sample.mapInArrow(_labelled, "kind string, token string").distinct(), "labelled-tokens")
     credentials: dict[str, list[str]] = defaultdict(list)
     for kind in (*KINDS, "plain"):
         own = found.where(F.col("kind") == kind).orderBy(F.xxhash64("token"), "token").limit(most)
@@ -204,8 +218,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gramma
         known: dict[str, bool] = {}
         for batch in batches:
             column = pc.fill_null(batch.column(1), "")
-            # Most texts have nothing that could be a finding, which a linear scan tells.
-            may = pc.match_substring_regex(column, _MAY_ASSIGN + r"|[A-Za-z0-9+/_=-]{16}").to_pylist()
+            # A linear scan tells the texts that have nothing that could be a finding.
+            may = pc.match_substring_regex(column, CANDIDATE.pattern).to_pylist()
             out: list[list] = [[], [], [], [], []]
             for flag, text in zip(may, column):
                 counts, base, spans = [0, 0, 0], "", ""
@@ -219,7 +233,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gramma
                     for m in CANDIDATE.finditer(text):
                         token = m[0]
                         if token not in known:
-                            if len(known) > 100_000:
+                            if len(known) > MEMO:
                                 known.clear()
                             known[token] = learnt.finds(token)
                         if known[token] and not any(s < m.end() and m.start() < e for s, _, e, _ in found):

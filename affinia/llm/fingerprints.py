@@ -87,10 +87,11 @@ def from_text(fingerprint: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
 
 
-_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+          "within_edited", "within_next", "within_both"]
 _SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double")
-_TYPES = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+           "near_edited double, near_next double, within_edited double, within_next double, within_both double")
+_TYPES = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 5]
 
 
 def _row(doc_id, text: str, own: np.ndarray, following: str, after: np.ndarray) -> tuple:
@@ -99,7 +100,7 @@ def _row(doc_id, text: str, own: np.ndarray, following: str, after: np.ndarray)
     edited = (text[:n - size] + following[:size]).encode()
     other = sketch(edited)
     return (doc_id, n, hashlib.sha256(edited).hexdigest(), to_text(own), to_text(other), likeness(own, other),
-            likeness(own, after))
+            likeness(own, after), containment(own, other), containment(own, after), containment(own, merge(other, after)))
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +140,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The edited text of a document has its last quarter (floor of its code points / 4)
     replaced by as many first code points of the next document in ascending doc_id, the
     first one following the last. ``near_edited`` compares its fingerprint with the
-    edited text's, ``near_next`` with the next document's.
+    edited text's, ``near_next`` with the next document's. ``within_edited`` and
+    ``within_next`` are the shares of the document's shingles that these two hold,
+    ``within_both`` the share that their merged fingerprint holds.
 
     Texts travel once, to ranges of ids cut at fixed splitters. The first text of each
     range, known by its id alone, is sent to the end of the range before it, so that

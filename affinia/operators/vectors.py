@@ -55,39 +55,51 @@ def best(scores: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
 
 
 class Leaders:
-    """The best k (score, name) of each query over the item blocks seen so far."""
+    """The best k (query, name, score) of each query over the item blocks seen so far."""
 
     def __init__(self, queries: np.ndarray, matrix: np.ndarray, k: int, skip_self: bool):
         self.queries, self.matrix, self.k, self.skip_self = queries, matrix, k, skip_self
-        self.scores = [np.zeros(0)] * len(queries)
-        self.names: list[np.ndarray | None] = [None] * len(queries)
+        self.floor = np.full(len(queries), -np.inf)
+        self.query, self.names, self.scores = np.zeros(0, np.int64), None, np.zeros(0)
 
     def add(self, names: np.ndarray, matrix: np.ndarray) -> None:
-        step = max(1, (4 << 20) // max(1, len(names)))
+        if not len(names):
+            return
+        step = max(1, (4 << 20) // len(names))
         for lo in range(0, len(self.queries), step):
             block = self.matrix[lo:lo + step] @ matrix.T
-            for row, scores in enumerate(block):
-                at, seen = lo + row, names
-                if self.skip_self:
-                    other = names != self.queries[at]
-                    scores, seen = scores[other], names[other]
-                top = best(scores, seen, self.k)
-                scores, seen = scores[top], seen[top]
-                if self.names[at] is not None:
-                    scores = np.concatenate([self.scores[at], scores])
-                    seen = np.concatenate([self.names[at], seen])
-                    top = best(scores, seen, self.k)
-                    scores, seen = scores[top], seen[top]
-                self.scores[at], self.names[at] = scores, seen
+            if self.skip_self:
+                block[self.queries[lo:lo + step, None] == names[None, :]] = -np.inf
+            near = np.round(block, PLACES)
+            floor = self.floor[lo:lo + step]
+            if near.shape[1] > self.k:
+                at = near.shape[1] - self.k
+                floor = np.maximum(floor, np.partition(near, at, axis=1)[:, at])
+            row, column = np.nonzero((near >= floor[:, None]) & (near > -np.inf))
+            self._merge(lo, lo + step, row + lo, names[column], block[row, column])
+
+    def _merge(self, lo: int, hi: int, query: np.ndarray, names: np.ndarray, scores: np.ndarray) -> None:
+        """The best k of the strip's queries, of those held and the new ones; lower names on ties."""
+        if self.names is None:
+            self.names = names[:0]
+        own = (self.query >= lo) & (self.query < hi)
+        query, names, scores = (np.concatenate([held[own], new]) for held, new in (
+            (self.query, query), (self.names, names), (self.scores, scores)))
+        near = np.round(scores, PLACES)
+        order = np.lexsort((names, -near, query))
+        place = np.arange(len(order)) - np.searchsorted(query[order], query[order])
+        last = order[place == self.k - 1]
+        self.floor[query[last]] = near[last]
+        order = order[place < self.k]
+        self.query, self.names, self.scores = (np.concatenate([held[~own], new[order]]) for held, new in (
+            (self.query, query), (self.names, names), (self.scores, scores)))
 
     def table(self, schema: pa.Schema) -> pa.Table:
-        sizes = [len(s) for s in self.scores]
-        if not sum(sizes):
+        if not len(self.query):
             return schema.empty_table()
         return pa.table([
-            pa.array(np.repeat(self.queries, sizes), type=schema.field(0).type),
-            pa.array(np.concatenate([n for n in self.names if n is not None]), type=schema.field(1).type),
-            pa.array(np.concatenate(self.scores)),
+            pa.array(self.queries[self.query], type=schema.field(0).type), pa.array(self.names, type=schema.field(1).type),
+            pa.array(self.scores),
         ], schema=schema)
 
 

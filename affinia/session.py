@@ -19,9 +19,23 @@ SETTINGS = {
 }
 
 
-def build_session(name: str = "affinia", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the library's settings; keyword names use ``__`` for the dots."""
+#: Input bytes per shuffle partition, and the fewest partitions; adaptive execution merges small ones.
+SHUFFLE_BYTES, SHUFFLES = 128 << 20, 200
+
+
+def shuffles_for(input_bytes: int) -> int:
+    """Shuffle partitions for an input, so that one fits into a task's memory at any size."""
+    return max(SHUFFLES, -(-input_bytes // SHUFFLE_BYTES))
+
+
+def build_session(name: str = "affinia", master: str | None = None, input_bytes: int | None = None, **extra: str) -> SparkSession:
+    """A session with the library's settings; keyword names use ``__`` for the dots.
+
+    ``input_bytes``, the size of what is going to be read, sets the shuffle partitions.
+    """
     builder = SparkSession.builder.appName(name)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffles_for(input_bytes)))
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
@@ -34,8 +48,8 @@ def build_session(name: str = "affinia", master: str | None = None, **extra: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local session, as in
-    tests, may fall back to a temporary folder; a cluster without the setting is an
+    ``spark.checkpoint.dir`` is read from the session. Only a session of one process, as
+    in tests, may fall back to a temporary folder; a cluster without the setting is an
     error, because a driver-local folder would be lost to the executors.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
@@ -48,7 +62,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="affinia-"))
     return spark.sparkContext.getCheckpointDir()
@@ -60,6 +75,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``clear_scratch`` removes what is written there."""
+    _scratch.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes the intermediate tables of this process, once no result that reads them is needed any more."""
+    gone = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from affinia.plans import QUERIES
-from affinia.session import build_session
+from affinia.session import build_session, clear_scratch
 
 HEADLINE = [
     "AGG-01_term_stats", "DICT-01_token_dictionary", "DOC-01_text_document", "DOC-03_txt2url_hashed",
@@ -31,6 +32,7 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(2 * int(cpus)), spark__driver__memory="16g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir="file://" + tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     small = os.path.join(os.path.dirname(sf.rstrip("/")), "sf0.001")
@@ -41,6 +43,7 @@ def main() -> None:
         started = time.perf_counter()
         QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - started, 3)
+        clear_scratch(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total_headline_seconds", "value": round(sum(times.values()), 3), "unit": "sec",

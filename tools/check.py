@@ -10,6 +10,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -34,7 +35,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = build_session(
         master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir="file://" + tempfile.mkdtemp(prefix="check-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()

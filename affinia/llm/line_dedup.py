@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.llm.tables import FILTER_BITS, bit_filter, written
+from affinia.llm.tables import bit_filter, written
 from affinia.operators.sizes import broadcast_if_small
 
 DEPTH = 3
@@ -58,7 +58,7 @@ def _tree_lines(depth: int, wanted=None):
                     leaf = _hash(str(len(tokens)).encode(), *tokens[:depth])
                     out[-1].append(leaf)
                     if wanted is not None:
-                        spot = leaf % FILTER_BITS
+                        spot = leaf % (8 * len(wanted.value))
                         if not wanted.value[spot >> 3] >> (spot & 7) & 1:
                             out[-1].pop()
                             continue

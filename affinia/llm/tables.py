@@ -35,17 +35,23 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
-#: Bits of a filter of 64-bit hashes; a fixed size, whatever the input.
-FILTER_BITS = 1 << 26
+#: Bits of a filter of 64-bit hashes per hash, and the fewest and most in all (128 KB to 128 MB).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 30
+
+
+def filter_bits(count: int) -> int:
+    """The size of a filter of so many hashes, a power of two."""
+    return min(max(1 << (BITS_EACH * count).bit_length(), LEAST_BITS), MOST_BITS)
 
 
 def bit_filter(rows: DataFrame, column: str) -> np.ndarray:
-    """One bit per hash, by its lowest bits; at most 2,048 rows of 4 KB reach the driver.
+    """One bit per hash, by its lowest bits, in a filter sized by the counted rows; rows of 4 KB reach the driver.
 
     What it lets through by chance has to be told apart by a join afterwards.
     """
-    spot = F.pmod(column, F.lit(FILTER_BITS)) + 1
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    size = filter_bits(rows.count())
+    spot = F.pmod(column, F.lit(size)) + 1
+    bits = np.zeros(size // 8, np.uint8)
     parts = rows.groupBy(F.bitmap_bucket_number(spot).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("m"))
     for r in parts.collect():
         own = np.frombuffer(bytes(r["m"]), np.uint8)
@@ -54,7 +60,7 @@ def bit_filter(rows: DataFrame, column: str) -> np.ndarray:
 
 
 def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    spot = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
+    spot = (hashes % np.uint64(8 * len(bits))).astype(np.int64)
     return (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
 
 

@@ -172,7 +172,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Files that are one JSON object each, of about 500 keys."""
     path = scratch_path(spark, "catalogue")
-    rows = _key_values(spark, sf).withColumn("part", F.floor(F.conv(F.substring("key", 1, 4), 16, 10).cast("int") / 16384))
+    rows = _key_values(spark, sf)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(max(1, rows.count() // 500))))
     entries = F.map_from_entries(F.collect_list(F.struct("key", "value")))
     rows.groupBy("part").agg(F.to_json(entries).alias("value")).repartition("part").write.partitionBy("part").text(path)
     return io.read_key_value(spark, f"{path}/*/*.txt", "string", "object")

@@ -174,3 +174,15 @@ def test_glove_loss_falls(spark):
     vec = {r["id"]: (np.array(r["vec"]), r["bias"]) for r in params.collect()}
     model = np.mean([min(1, x / 100) ** 0.75 * (np.log10(1 + x) - (vec[i][0] @ vec[j][0] + vec[i][1] + vec[j][1])) ** 2 for i, j, x in triples])
     assert abs(model - losses[-1]) < 1e-9 and abs(E.glove_loss(df, params).first()["loss"] - model) < 1e-9
+
+
+def test_glove_steps_do_not_depend_on_blocks(spark):
+    rng = np.random.default_rng(2)
+    triples = [(i, j, float(rng.integers(1, 200))) for i in range(40) for j in range(i) if (i * j) % 3] + [(99, j, 5.0) for j in range(40)]
+    df = spark.createDataFrame(triples, "i bigint, j bigint, x double")
+    fits = [M.glove_fit(df, dim=3, iterations=3, **blocks) for blocks in ({}, {"block": 7, "cell": 5}, {"block": 1})]
+    ids = [{r["id"]: [*r["vec"], r["bias"]] for r in params.collect()} for params, _ in fits]
+    assert ids[0].keys() == {i for t in triples for i in t[:2]}
+    for other, (_, losses) in zip(ids[1:], fits[1:]):
+        assert losses == pytest.approx(fits[0][1])
+        assert all(other[k] == pytest.approx(v) for k, v in ids[0].items())

@@ -22,7 +22,7 @@ from affinia.operators import retrieval as RT
 from affinia.operators import sampling as SA
 from affinia.operators import vectors as VE
 from affinia.operators.filters import min_playlist_length
-from affinia.operators.indexing import dense_index, top_per_group
+from affinia.operators.indexing import dense_index, place_in_group, top_per_group
 from affinia.operators.track_search import list_rows, recall_of_lists, track_lists
 from affinia.plans import views as V
 from affinia.plans.interaction_queries import score_table
@@ -308,6 +308,15 @@ def _(spark, sf):
     return M.item_embeddings(rows.select(F.col("_t.track_idx").alias("items")), "items", dim=8)
 
 
+@query("REC-06_fitted_embeddings")
+def _(spark, sf):
+    """Vectors of items from what users looked at, in order of time, in pieces of at most 1,000 events."""
+    events = V.views(spark, sf).where(F.col("item").isNotNull())
+    placed = place_in_group(events, ["user"], F.asc("ts"), F.asc("event_id")).withColumn("piece", F.floor(F.col("place") / 1000))
+    rows = placed.groupBy("user", "piece").agg(F.array_sort(F.collect_list(F.struct("place", "item"))).alias("_t"))
+    return M.item_embeddings(rows.select(F.col("_t.item").alias("items")), "items", dim=4)
+
+
 # ---- text queries ------------------------------------------------------------------------
 
 BENCH_SEP = text.SEPARATORS.replace("'", "''")

@@ -36,7 +36,7 @@ def row_key(*columns: str) -> Column:
 
 
 #: Bits of a filter of 64-bit hashes per hash, and the fewest and most in all (128 KB to 128 MB).
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 30
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 20, 1 << 30
 
 
 def filter_bits(count: int) -> int:

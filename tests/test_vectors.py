@@ -95,6 +95,14 @@ def test_per_item_search(spark):
     assert [g[0] for g in got] == [e[0] for e in expected]
 
 
+def test_per_item_search_with_ratings_of_zero(spark):
+    x = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0]), (3, [0.0, 1.0]), (4, [-1.0, 0.2])], "item bigint, vec array<double>")
+    likes = spark.createDataFrame([(1, 0, 0.0), (1, 4, 2.0), (2, 0, 0.0), (2, 2, 0.0)], "user bigint, item bigint, rating double")
+    got = VE.per_item_search(likes, x, 5).orderBy("user", "rank").collect()
+    assert [(r["user"], r["candidate"]) for r in got] == [(1, 2), (1, 1), (2, 1), (2, 3)]
+    assert 0 < got[0]["value"] < 1 and got[1]["value"] == got[2]["value"] == float("inf") and np.isnan(got[3]["value"])
+
+
 # ---- playlists --------------------------------------------------------------------------
 
 ALBUMS, ARTISTS = np.round(RNG.standard_normal((9, 4)), 2), np.round(RNG.standard_normal((7, 4)), 2)

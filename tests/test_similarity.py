@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -220,3 +221,30 @@ def test_known_small_case(spark):
     expected, _ = model_pearson(data)
     assert got["A", "E"] is None
     assert all(v is None or math.isclose(got[k], v, abs_tol=1e-9) for k, v in expected.items())
+
+
+@pytest.mark.parametrize("valued", [True, False])
+@pytest.mark.parametrize("limits", [{}, {"entity_limit": 3}, {"group_limit": 6, "entity_limit": 2}])
+def test_pair_sums_add_up_where_the_left_entity_is(spark, valued, limits, monkeypatch):
+    monkeypatch.setattr(P, "AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    data = sorted({(int(e), int(f)) for e, f in zip(rng.integers(0, 25, 160), rng.integers(0, 18, 160))})
+    data = [(e, f, float(rng.integers(-3, 4))) for e, f in data]
+    df = spark.createDataFrame(data + [(None, 1, 2.0), (3, None, 2.0)], "e bigint, f bigint, x double")
+    expected = {}
+    for a, f, x in data:
+        for b, g, y in data:
+            if f == g and a < b:
+                x, y = (x, y) if valued else (1.0, 1.0)
+                expected.setdefault((a, b), []).append((1.0, x * y, x * x, y * y))
+    sums = P.pair_sums(df, "e", "f", "x" if valued else None, **limits)
+    got = {(r["left"], r["right"]): tuple(r[c] for c in P.SUMS) for r in sums.collect()}
+    assert got == {k: tuple(map(sum, zip(*v))) for k, v in expected.items()}
+    assert sums.count() == len(expected)
+
+
+def test_pair_sums_shuffle_members_and_not_pairs(spark):
+    """A member's row holds all that come after it in its group; no row per pair is exchanged."""
+    df = spark.range(60).selectExpr("id AS e", "id % 2 AS f", "1.0D AS x")
+    plan = P.pair_sums(df, "e", "f", "x")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[left" not in plan and "SortAggregate(key=[left" not in plan

@@ -180,3 +180,18 @@ def test_cascade_pools_when_nobody_is_sure(spark):
                                   "model string, key bigint, score double, confidence double")
     got = rows(R.cascade(preds, ["a", "b"], 0.5), "key", "score", "model", "depth")
     assert got == [(1, 2.0, "a", 1), (2, 4.0, "b", 2), (3, 3.0, "pooled", 2)]
+
+
+@pytest.mark.parametrize("limits", [{}, {"block": 9, "columns": 5}])
+@pytest.mark.parametrize("text", [False, True])
+def test_nearest_by_shared_bits_equals_the_best_pairs(spark, limits, text):
+    import random
+
+    from affinia.operators.similarity import neighbours
+
+    draw = random.Random(2)
+    rows = [(f"i{i}" if text else i, draw.sample("abcdefghij", draw.randint(0, 4))) for i in range(50)]
+    items = spark.createDataFrame(rows, f"item {'string' if text else 'bigint'}, words array<string>")
+    pairs = neighbours(B.bloom_similarity(items, "words").withColumnRenamed("common", "similarity"), 4)
+    near = neighbours(B.bloom_similarity(items, "words", k=4, **limits).withColumnRenamed("common", "similarity"), 4)
+    assert sorted(map(tuple, near.select(*pairs.columns).collect())) == sorted(map(tuple, pairs.collect()))

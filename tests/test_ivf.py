@@ -84,3 +84,16 @@ def test_small_and_empty_tables(spark):
     assert {(r["query"], r["item"]) for r in IVF.search(one, queries, 3).collect()} == {(0, 0), (1, 0)}
     assert IVF.search(IVF.build(items), queries, 3).count() == 6
     assert IVF.search(IVF.build(items), queries.limit(0), 3).count() == 0
+
+
+def test_lists_are_measured_with_their_codes_and_broadcast(spark):
+    """Queries stay in their tasks, where the best candidates are cut before the shuffle."""
+    from affinia.operators import ivf
+    from affinia.operators.sizes import measured_bytes
+
+    assert measured_bytes(spark.createDataFrame([(1, bytearray(1000)), (2, None)], "list int, codes binary")) >= 1000
+    vecs = np.random.default_rng(5).standard_normal((600, 4))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "item bigint, vec array<double>")
+    index = ivf.build(items, per_list=32)
+    plan = ivf.candidates(index, items.selectExpr("item AS query", "vec"), 40)._jdf.queryExecution().executedPlan().toString()
+    assert any("BroadcastHashJoin [list" in line for line in plan.splitlines())

@@ -214,3 +214,19 @@ def test_text_operators_need_no_python(spark, docs):
     d = D.token_dictionary(docs, 2)
     plan = C.token_cooccurrence(docs, d)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow", plan)
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 8, 1])
+def test_rows_are_packed_in_order_of_their_entries(spark, monkeypatch, limit):
+    """Light rows without a global order, heavy ones by it."""
+    monkeypatch.setattr(C, "ROW_LIMIT", limit)
+    ordered = []
+    real = C.place_in_group
+    monkeypatch.setattr(C, "place_in_group", lambda df, *a: (ordered.append(df.count()), real(df, *a))[1])
+    triples = [(i, j, float(i * j)) for i in range(12) for j in range(i)]
+    df = spark.createDataFrame(triples[::-1], "i bigint, j bigint, x double")
+    packed = {(r["index"], r["chunk"]): (r["other_index"], r["count"]) for r in C.pack_rows(df, 4).collect()}
+    expected = {(i, c): (list(range(c * 4, min(i, c * 4 + 4))), [float(i * j) for j in range(c * 4, min(i, c * 4 + 4))])
+                for i in range(12) for c in range(-(-i // 4))}
+    assert packed == expected
+    assert ordered == [sum(i for i in range(12) if i > limit)] * (limit < 11)

@@ -194,3 +194,19 @@ def test_glove_steps_do_not_depend_on_blocks(spark):
     for other, (_, losses) in zip(ids[1:], fits[1:]):
         assert losses == pytest.approx(fits[0][1])
         assert all(other[k] == pytest.approx(v) for k, v in ids[0].items())
+
+
+def test_glove_steps_send_no_block_to_every_cell(spark, monkeypatch):
+    """A sparse matrix: parameters are not joined to edges, whether they are broadcast whole or in shares."""
+    rng = np.random.default_rng(3)
+    triples = [(int(i) + (1 << 40), int(j), float(x)) for i, j, x in {(i, j): (i, j, x) for i, j, x in zip(
+        rng.integers(0, 300, 500), rng.integers(0, 300, 500), rng.integers(1, 200, 500))}.values()] + [(7, 7, 3.0)]
+    df = spark.createDataFrame(triples, "i bigint, j bigint, x double")
+    whole, losses = M.glove_fit(df, dim=3, iterations=2, block=50)
+    monkeypatch.setattr(M, "_cells", None)
+    for limit in (M.PARAMS_BYTES, 8000):
+        monkeypatch.setattr(M, "PARAMS_BYTES", limit)
+        params, found = M.glove_fit(df, dim=3, iterations=2)
+        assert found == pytest.approx(losses)
+        got, expected = ({r["id"]: [*r["vec"], r["bias"]] for r in p.collect()} for p in (params, whole))
+        assert got.keys() == expected.keys() and all(got[k] == pytest.approx(v) for k, v in expected.items())

@@ -210,3 +210,15 @@ def test_glove_steps_send_no_block_to_every_cell(spark, monkeypatch):
         assert found == pytest.approx(losses)
         got, expected = ({r["id"]: [*r["vec"], r["bias"]] for r in p.collect()} for p in (params, whole))
         assert got.keys() == expected.keys() and all(got[k] == pytest.approx(v) for k, v in expected.items())
+
+
+def test_small_blocks_do_not_send_a_vector_to_every_block(spark, monkeypatch):
+    sent = []
+    real = VE._cogroup
+    monkeypatch.setattr(VE, "_cogroup", lambda q, i, *a: (sent.append(q.count() + i.count()), real(q, i, *a))[1])
+    rng = np.random.default_rng(4)
+    q, x = (spark.createDataFrame([(k, [float(v) for v in np.round(rng.standard_normal(4), 1)]) for k in range(400)], f"{n} bigint, vec array<float>")
+            for n in ("query", "item"))
+    got = VE.knn(q, x, 5, broadcast_bytes=0, block=4).collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in VE.knn(q, x, 5).collect()} and len(got) == 2000
+    assert len(sent) == 1 and sent[0] < 800 * 20

@@ -222,3 +222,28 @@ def test_small_blocks_do_not_send_a_vector_to_every_block(spark, monkeypatch):
     got = VE.knn(q, x, 5, broadcast_bytes=0, block=4).collect()
     assert {tuple(r) for r in got} == {tuple(r) for r in VE.knn(q, x, 5).collect()} and len(got) == 2000
     assert len(sent) == 1 and sent[0] < 800 * 20
+
+
+def test_candidates_of_documents_are_counted_without_a_row_per_pair(spark, monkeypatch):
+    """As the joins find them, with repeated rows, words of every document, and none of a query's."""
+    from affinia.operators import retrieval as RT
+
+    rng = np.random.default_rng(6)
+    words = [[f"w{int(x)}" for x in rng.zipf(1.3, 12) % 40] for _ in range(90)]
+    queries = spark.createDataFrame([(k, w + w[:2]) for k, w in enumerate(words[:20])] + [(99, ["none"]), (98, [])], "query bigint, tokens array<string>")
+    index = spark.createDataFrame([(t, k) for k, w in enumerate(words[20:]) for t in w], "token string, doc_id bigint")
+    expected = {(q, d, len(set(words[q]) & set(words[20 + d]))) for q in range(20) for d in range(70)}
+    joined = RT.inverted_candidates(queries, index, group_limit=5)
+    assert {tuple(r) for r in joined.collect()} == {x for x in expected if x[2]}
+    monkeypatch.setattr(RT, "shared_counts", None)
+    monkeypatch.setattr(RT, "CELLS", 50)
+    found = RT.inverted_candidates(queries, index)
+    assert {tuple(r) for r in found.collect()} == {x for x in expected if x[2]}
+    assert RT.inverted_candidates(queries.limit(0), index).collect() == []
+    vecs = {k: rng.standard_normal(3) for k in range(70)}
+    frame = lambda name: spark.createDataFrame([(k, [float(x) for x in v]) for k, v in vecs.items()], f"{name} bigint, vec array<double>")
+    top = {(r["query"], r["rank"]): r["doc_id"] for r in RT.rerank_by_vector(found, frame("query"), frame("doc_id"), 4).collect()}
+    for q in range(20):
+        cosine = lambda d: vecs[q] @ vecs[d] / np.linalg.norm(vecs[q]) / np.linalg.norm(vecs[d])  # noqa: B023, E731
+        best = sorted((d for x, d, n in expected if x == q and n), key=lambda d: (-cosine(d), d))[:4]
+        assert [top[q, r + 1] for r in range(len(best))] == best

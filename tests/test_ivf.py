@@ -97,3 +97,19 @@ def test_lists_are_measured_with_their_codes_and_broadcast(spark):
     index = ivf.build(items, per_list=32)
     plan = ivf.candidates(index, items.selectExpr("item AS query", "vec"), 40)._jdf.queryExecution().executedPlan().toString()
     assert any("BroadcastHashJoin [list" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("margin", [None, 1e9])
+def test_search_is_the_same_whether_the_index_is_held_or_joined(spark, monkeypatch, margin):
+    queries, items, _ = frames(spark, clustered(4, 1500, each=50), 30)
+    index = IVF.build(items, per_list=20)
+    index = index if margin is None else replace(index, margins=(margin, margin))
+    columns = ["query", "item", "rank"]
+    with monkeypatch.context() as patch:
+        # Of a held index no candidate leaves the task of its query.
+        patch.setattr(IVF, "candidates", None)
+        held, cost = IVF.search(index, queries, 5, again=40).select(columns).collect(), IVF.cost(index, queries).collect()
+    monkeypatch.setattr(IVF, "INDEX_BYTES", 0)
+    monkeypatch.setattr(IVF, "CENTRES_BYTES", 0)
+    assert sorted(held) == sorted(IVF.search(index, queries, 5, again=40).select(columns).collect())
+    assert sorted(cost) == sorted(IVF.cost(index, queries).collect())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from affinia.operators.indexing import top_per_group
 from affinia.operators.interactions import user_mean_deviation
 from affinia.operators.neighbours import nearest, similarity_mass
-from affinia.operators.pairs import SUMS, pair_sums
+from affinia.operators.pairs import SUMS, add_pair_sums, pair_sums
 
 
 def similarity_sums(ratings: DataFrame, swap: bool = False, **limits: int) -> DataFrame:
@@ -106,12 +106,14 @@ def affinity(ratings: DataFrame, similarity: DataFrame, k: int = 5, targets: Dat
 
 def update_similarity(sums: DataFrame, old: DataFrame, new: DataFrame, means: DataFrame, **limits: int) -> DataFrame:
     """New pair sums after new ratings: only pairs they touch change, means are held."""
-    delta = similarity_delta(old, new, means, **limits)
-    return add_sums(sums.select("left", "right", *SUMS).unionByName(delta))
+    return add_sums(sums, similarity_delta(old, new, means, **limits))
 
 
-def add_sums(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("left", "right").agg(*[F.sum(c).alias(c) for c in SUMS])
+def add_sums(*parts: DataFrame) -> DataFrame:
+    """One row per pair; several tables are added up where the left entity is, from their members where they are known."""
+    if len(parts) > 1:
+        return add_pair_sums(*[(part, 1) for part in parts])
+    return parts[0].groupBy("left", "right").agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
 def similarity_delta(old: DataFrame, new: DataFrame, means: DataFrame, **limits: int) -> DataFrame:
@@ -137,8 +139,7 @@ def similarity_delta(old: DataFrame, new: DataFrame, means: DataFrame, **limits:
 
     delta = changed(kept, new)
     if not replaced.isEmpty():
-        gone = changed(kept, replaced).select("left", "right", *[(-F.col(c)).alias(c) for c in SUMS])
-        delta = add_sums(delta.unionByName(gone))
+        delta = add_pair_sums((delta, 1), (changed(kept, replaced), -1))
     return delta
 
 

@@ -248,3 +248,23 @@ def test_pair_sums_shuffle_members_and_not_pairs(spark):
     df = spark.range(60).selectExpr("id AS e", "id % 2 AS f", "1.0D AS x")
     plan = P.pair_sums(df, "e", "f", "x")._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[left" not in plan and "SortAggregate(key=[left" not in plan
+
+
+@pytest.mark.parametrize("limits", [{}, {"group_limit": 6, "block": 4, "entity_limit": 2}])
+def test_an_update_shuffles_no_table_of_pairs(spark, limits, monkeypatch):
+    monkeypatch.setattr(P, "AT_ONCE", 7)
+    data = ratings(13)
+    old, new = frame(spark, data[:120]), frame(spark, data[120:] + [(u, i, 6 - r) for u, i, r in data[:9]])
+    means = old.groupBy("user").agg(F.avg("rating").alias("mean"))
+    sums = S.similarity_sums(old, **limits)
+    updated = S.update_similarity(sums, old, new, means, **limits)
+    plan = updated._jdf.queryExecution().executedPlan().toString()
+    assert limits or "HashAggregate(keys=[left" not in plan and "SortAggregate(key=[left" not in plan
+    plain = S.add_sums(sums.select("left", "right", *P.SUMS).unionByName(S.similarity_delta(old, new, means, **limits)))
+    # Tables that come without their members, such as a stored one, are added up as well.
+    stored = S.add_sums(spark.createDataFrame(sums.collect(), sums.schema), S.similarity_delta(old, new, means, **limits))
+    expected = {(r["left"], r["right"]): [r[c] for c in P.SUMS] for r in plain.collect()}
+    for found in (updated, stored):
+        got = {(r["left"], r["right"]): [r[c] for c in P.SUMS] for r in found.collect()}
+        assert got.keys() == expected.keys() and found.count() == len(expected)
+        assert all(got[k] == pytest.approx(v, abs=1e-9) for k, v in expected.items())

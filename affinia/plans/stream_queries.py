@@ -93,7 +93,7 @@ def _(spark, sf):
     means = old.groupBy("user").agg(F.avg("rating").alias("mean"))
     ST.speed_layer_similarity(stream, old, means, out, scratch_path(spark, "offsets")).awaitTermination()
     delta = ST.SpeedLayer(spark, out).sums.read()
-    total = S.add_sums(S.similarity_sums(old).unionByName(delta))
+    total = S.add_sums(S.similarity_sums(old), delta)
     return total.select("left", "right", F.col("n").cast("bigint").alias("n"), rounded("sxy", 9).alias("sxy"))
 
 

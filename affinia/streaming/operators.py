@@ -138,7 +138,7 @@ class SpeedLayer:
             measured = old.select("user", "mean").unionByName(stamped.select("user", "mean")).groupBy("user").agg(F.min("mean").alias("mean"))
             late = new.join(old.select("user", "item", F.col("ts").alias("_t")), ["user", "item"], "left")
             newer = late.where(F.col("_t").isNull() | (F.col("ts") >= F.col("_t"))).select("user", "item", "rating")
-            self.sums.apply(similarity_delta(old.select("user", "item", "rating"), newer, measured), number)
+            self.sums.apply(similarity_delta(old.select("user", "item", "rating"), newer, measured), number, merged=True)
         self.ratings.apply(stamped, number)
         new.unpersist()
 

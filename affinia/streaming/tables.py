@@ -134,15 +134,39 @@ class StateTable:
 
     def read(self, number: int | None = None, only: Iterable[int] | None = None) -> DataFrame:
         """One row per key as of a version; the parts are fixed now, whatever is committed later."""
-        rows = self.merge(self.raw(self.version(number), only)).select(*self.schema.names)
+        version = self.version(number)
+        rows = self.raw(version, only)
+        if version and any(len(p) > 1 for b, p in version.parts.items() if only is None or b in only):
+            # A part has one row per key, so buckets of one part need no merging.
+            rows = self.merge(rows).select(*self.schema.names)
         return rows.where(~F.coalesce(DELETED, F.lit(False))) if DELETED in self.schema.names else rows
 
-    def apply(self, delta: DataFrame, batch: int, meta: dict | None = None) -> Version:
-        """Commits a batch's rows as the next version; a batch that is in already stays as it is."""
+    def apply(self, delta: DataFrame, batch: int, meta: dict | None = None, merged: bool = False) -> Version:
+        """Commits a batch's rows as the next version; a batch that is in already stays as it is.
+
+        ``merged`` rows have one row per key already.
+        """
         now = self.version() or Version(0, -1, self.buckets)
         if now.batch >= batch:
             return now
-        rows = self.merge(delta.select(*self.schema.names)).select(*self.schema.names).withColumn(SPOT, self.bucket(now.buckets)).persist()
+        rows = delta.select(*self.schema.names) if merged else self.merge(delta.select(*self.schema.names)).select(*self.schema.names)
+        rows = rows.withColumn(SPOT, self.bucket(now.buckets))
+        parts = {b: list(p) for b, p in now.parts.items()}
+        if all(len(p) < self.most_parts for p in parts.values()):
+            # No bucket is to be compacted, so the rows are written as they come and not held before.
+            name = f"{batch}-{uuid.uuid4().hex}"
+            self._write(rows, name)
+            for b in self._written(name):
+                parts.setdefault(b, []).append(name)
+        else:
+            parts = self._merged(now, rows.persist(), batch)
+        after = Version(now.number + 1, batch, now.buckets, {b: p for b, p in parts.items() if p}, meta if meta is not None else now.meta)
+        self.folder.put(f"_versions/v{after.number}.json", after.text())
+        self._clean(after)
+        return after
+
+    def _merged(self, now: Version, rows: DataFrame, batch: int) -> dict[int, list[str]]:
+        """The parts after a batch of persisted rows; full buckets among those it touches are compacted."""
         try:
             touched = sorted(r[0] for r in rows.select(SPOT).distinct().collect())
             full = [b for b in touched if len(now.parts.get(b, [])) >= self.most_parts]
@@ -162,15 +186,16 @@ class StateTable:
                 if DELETED in self.schema.names:
                     merged = merged.where(~F.coalesce(DELETED, F.lit(False)))
                 self._write(merged.withColumn(SPOT, self.bucket(now.buckets)), name)
-                written = {int(n.split("=")[1]) for n in self.folder.names(f"data/{name}") if n.startswith(f"{SPOT}=")}
+                written = self._written(name)
                 for b in full:
                     parts[b] = [name] if b in written else []
         finally:
             rows.unpersist()
-        after = Version(now.number + 1, batch, now.buckets, {b: p for b, p in parts.items() if p}, meta if meta is not None else now.meta)
-        self.folder.put(f"_versions/v{after.number}.json", after.text())
-        self._clean(after)
-        return after
+        return parts
+
+    def _written(self, name: str) -> list[int]:
+        """The buckets that a part has rows of."""
+        return sorted(int(n.split("=")[1]) for n in self.folder.names(f"data/{name}") if n.startswith(f"{SPOT}="))
 
     def _write(self, rows: DataFrame, name: str) -> None:
         # One file per bucket, so that a reader opens as many files as the manifest names.

@@ -142,3 +142,17 @@ def test_bloom_state_grows_by_layers(spark, tmp_path):
     _, stored = ST.bloom_tables(spark, path)
     asked = spark.range(0, 2000).select(F.col("id").alias("key"))
     assert {r["key"] for r in LB.settled(held, asked, "key", stored.read()).where("present").collect()} == set(range(400))
+
+
+def test_rows_that_are_merged_are_not_merged_or_held_again(spark, tmp_path, monkeypatch):
+    table = counts(spark, tmp_path / "t", buckets=2, parts=2)
+    merges = []
+    real = table.merge
+    monkeypatch.setattr(table, "merge", lambda df: (merges.append(1), real(df))[1])
+    table.apply(delta(spark, [(1, 1), (2, 5), (None, 3)]), 0, merged=True)
+    assert rows(table.read().where("k is not null")) == [(1, 1), (2, 5)] and table.read().count() == 3 and not merges
+    table.apply(delta(spark, [(1, 1), (1, 2)]), 1)
+    assert rows(table.read().where("k is not null")) == [(1, 4), (2, 5)] and len(merges) > 0
+    table.apply(delta(spark, [(1, 1), (2, 1)]), 2, merged=True)  # compacts
+    table.apply(delta(spark, [(1, 1)]), 3)
+    assert rows(table.read().where("k is not null")) == [(1, 6), (2, 6)]

@@ -247,3 +247,25 @@ def test_candidates_of_documents_are_counted_without_a_row_per_pair(spark, monke
         cosine = lambda d: vecs[q] @ vecs[d] / np.linalg.norm(vecs[q]) / np.linalg.norm(vecs[d])  # noqa: B023, E731
         best = sorted((d for x, d, n in expected if x == q and n), key=lambda d: (-cosine(d), d))[:4]
         assert [top[q, r + 1] for r in range(len(best))] == best
+
+
+def test_item_vectors_are_fitted_until_nothing_is_gained(spark, monkeypatch):
+    """Items of a taste stand together in most histories, and with all others in a few."""
+    rng = np.random.default_rng(4)
+    seqs = [([int(x) for x in (rng.permutation(12) + 12 * (n % 2) if n % 8 else rng.permutation(24))],) for n in range(120)]
+    df = spark.createDataFrame(seqs, "items array<bigint>")
+    fits, real = [], M.glove_fit
+    monkeypatch.setattr(M, "glove_fit", lambda *a, **b: (fits.append(real(*a, **b)), fits[-1])[1])
+    vecs = {int(r["item"]): np.array(r["vec"]) for r in M.item_embeddings(df, "items", dim=4).collect()}
+    (_, losses), = fits
+    falls = -np.diff(losses) / np.array(losses[:-1])
+    assert len(vecs) == 24 and len(losses) > 5 and (falls[:-1] >= M.TOLERANCE).all() and losses[-1] < 0.1 * losses[1]
+    own = np.mean([vecs[a] @ vecs[b] for a in range(12) for b in range(12) if a != b])
+    met = np.mean([vecs[a] @ vecs[b + 12] for a in range(12) for b in range(12)])
+    assert own > met + 0.5
+    shares = {}
+    for limit in (M.PARAMS_BYTES, 500):
+        monkeypatch.setattr(M, "PARAMS_BYTES", limit)
+        shares[limit] = {r["item"]: r["vec"] for r in M.item_embeddings(df, "items", dim=4).collect()}
+    whole, cut = shares.values()
+    assert whole.keys() == cut.keys() and all(cut[k] == pytest.approx(v, abs=1e-6) for k, v in whole.items())
